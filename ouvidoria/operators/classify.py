@@ -7,6 +7,8 @@ compared with the labels. Categories and subcategories are looked up under the c
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,24 +20,23 @@ _HITS = "_hits"
 UNRESOLVED = "Não Resolvido"
 
 
-def _literals(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+_LABELS = "array<struct<rank: int, label: string, words: array<string>>>"
+
+
+def _constant(value: list | dict, schema: str) -> Column:
+    """A nested constant in one expression, which Catalyst folds into a literal."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), schema)
 
 
 def lexicon_hits(text: Column) -> Column:
     """Lexicon words that occur in a text as whole words, case ignored."""
     vocabulary = dict.fromkeys(w for words in taxonomy.macro_keywords().values() for w in words)
-    return F.array_intersect(_literals(list(vocabulary)), F.split(F.lower(text), r"[^\p{L}]+"))
+    return F.array_intersect(_constant(list(vocabulary), "array<string>"), F.split(F.lower(text), r"[^\p{L}]+"))
 
 
-def _label_table(labels: list[str], words_of: dict[str, list[str]]) -> Column:
-    """Literal array of (rank, label, words); a later label has a lower rank."""
-    return F.array(
-        *[
-            F.struct(F.lit(-i).alias("rank"), F.lit(label).alias("label"), _literals(words_of[label]).alias("words"))
-            for i, label in enumerate(labels)
-        ]
-    )
+def _label_table(labels: list[str], words_of: dict[str, list[str]]) -> list[dict]:
+    """A later label has a lower rank."""
+    return [{"rank": -i, "label": label, "words": words_of[label]} for i, label in enumerate(labels)]
 
 
 def _best_label(table: Column, hits: Column) -> Column:
@@ -52,11 +53,16 @@ def _best_label(table: Column, hits: Column) -> Column:
     return F.when(hits.isNotNull(), F.coalesce(best["label"], F.lit(taxonomy.FALLBACK)))
 
 
+def _macro_label(hits: Column) -> Column:
+    return _best_label(_constant(_label_table(taxonomy.MACROS, taxonomy.macro_keywords()), _LABELS), hits)
+
+
 def _child_label(children: dict[str, list[str]], macro: Column, hits: Column) -> Column:
-    entries: list[Column] = []
-    for parent, labels in children.items():
-        entries += [F.lit(parent), _label_table(labels, {c: taxonomy.keywords(c) for c in labels})]
-    return _best_label(F.try_element_at(F.create_map(*entries), macro), hits)
+    tables = {
+        parent: _label_table(labels, {label: taxonomy.keywords(label) for label in labels})
+        for parent, labels in children.items()
+    }
+    return _best_label(F.try_element_at(_constant(tables, f"map<string, {_LABELS}>"), macro), hits)
 
 
 def classify(df: DataFrame, text: str = "relato") -> DataFrame:
@@ -64,7 +70,7 @@ def classify(df: DataFrame, text: str = "relato") -> DataFrame:
     hits, macro = F.col(_HITS), F.col("macro_categoria")
     return (
         df.withColumn(_HITS, lexicon_hits(F.col(text)))
-        .withColumn("macro_categoria", _best_label(_label_table(taxonomy.MACROS, taxonomy.macro_keywords()), hits))
+        .withColumn("macro_categoria", _macro_label(hits))
         .withColumns(
             {
                 "categoria": _child_label(taxonomy.categorias_of(), macro, hits),
@@ -79,11 +85,10 @@ def route(df: DataFrame, macro: str = "macro_categoria") -> DataFrame:
     """Channel, priority and deadline by exact macro; unknown and null take the default row."""
     names = ["canal", "prioridade", "sla_dias"]
 
-    def row(values: tuple[str, ...]) -> Column:
-        return F.struct(*[F.lit(v).alias(n) for n, v in zip(names, values, strict=True)])
-
-    table = F.create_map(*[part for m, values in taxonomy.ROUTING.items() for part in (F.lit(m), row(values))])
-    chosen = F.coalesce(F.try_element_at(table, F.col(macro)), row(taxonomy.ROUTING_DEFAULT))
+    row = "struct<" + ", ".join(f"{n}: string" for n in names) + ">"
+    table = _constant({m: dict(zip(names, v, strict=True)) for m, v in taxonomy.ROUTING.items()}, f"map<string, {row}>")
+    default = _constant(dict(zip(names, taxonomy.ROUTING_DEFAULT, strict=True)), row)
+    chosen = F.coalesce(F.try_element_at(table, F.col(macro)), default)
     return df.withColumns({n: chosen[n] for n in names})
 
 

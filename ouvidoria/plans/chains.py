@@ -61,8 +61,7 @@ def _build_golds(wh: Warehouse, rollup: DataFrame, golds, tables: dict[str, S.Ta
     """
     rollup = rollup.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for name, df in golds(rollup).items():
-            wh.replace(tables[name], df, refs)
+        wh.replace_many({tables[name]: df for name, df in golds(rollup).items()}, refs)
     finally:
         rollup.unpersist()
 
@@ -91,14 +90,23 @@ def run_daily(wh: Warehouse, root: str, ref: str, institution: str = "Santander"
     build_gold_daily(wh, ref)
 
 
-def backfill_monthly(wh: Warehouse, bronze: DataFrame, refs: Refs = None) -> None:
-    """Many loads at once: one job per table instead of one per load and table."""
-    wh.replace(S.BRONZE_MONTHLY, bronze, refs)
+def backfill_monthly(wh: Warehouse, bronze: DataFrame, refs: Refs = None, rebalance: bool | None = None) -> None:
+    """Many loads at once: one job per table instead of one per load and table.
+
+    ``rebalance=False`` saves a shuffle of the whole feed when its files are cut by load already.
+    """
+    wh.replace(S.BRONZE_MONTHLY, bronze, refs, rebalance)
     build_silver_monthly(wh, refs)
     build_gold_monthly(wh, refs)
 
 
-def backfill_daily(wh: Warehouse, bronze: DataFrame, refs: Refs = None, institution: str = "Santander") -> None:
-    wh.replace(S.BRONZE_DAILY, bronze, refs)
+def backfill_daily(
+    wh: Warehouse,
+    bronze: DataFrame,
+    refs: Refs = None,
+    institution: str = "Santander",
+    rebalance: bool | None = None,
+) -> None:
+    wh.replace(S.BRONZE_DAILY, bronze, refs, rebalance)
     build_silver_daily(wh, refs, institution)
     build_gold_daily(wh, refs)

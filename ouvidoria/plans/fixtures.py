@@ -39,8 +39,9 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nation
 """
 
 # Whole document texts, and every document in turn, so that the narratives grow with the tables.
+# Both sides grow, hence a shuffled join; it also spreads a document file of a single row group.
 _DAILY = """
-SELECT CASE event_id % 4 WHEN 0 THEN 'Nubank' ELSE 'Banco Santander' END AS nomeempresa,
+SELECT /*+ MERGE(e) */ CASE event_id % 4 WHEN 0 THEN 'Nubank' ELSE 'Banco Santander' END AS nomeempresa,
  CASE event_type WHEN 'error' THEN 'Não Resolvido' WHEN 'purchase' THEN 'Resolvido' ELSE 'Não Avaliado' END AS status,
  concat(CAST(event_id % 10 AS STRING), ' dias') AS temporesposta, <DMY> AS dataocorrido,
  concat('Cidade-', CAST(user_id % 50 AS STRING)) AS cidade,

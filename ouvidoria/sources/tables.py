@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,12 @@ def _dynamic_overwrite(spark: SparkSession):
         spark.conf.set(_OVERWRITE_MODE, before)
 
 
+def _as_list(refs: str | Iterable[str] | None) -> list[str] | None:
+    if refs is None:
+        return None
+    return [require_ref(r) for r in dict.fromkeys([refs] if isinstance(refs, str) else refs)]
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The twelve tables under one base path.
@@ -113,30 +121,46 @@ class Warehouse:
     # -- writes -------------------------------------------------------------------------
 
     def replace(
-        self, spec: TableSpec, df: DataFrame, refs: str | Iterable[str] | None = None, rebalance: bool = False
+        self,
+        spec: TableSpec,
+        df: DataFrame,
+        refs: str | Iterable[str] | None = None,
+        rebalance: bool | None = None,
     ) -> None:
         """Replace whole slices; running it again changes nothing.
 
         The new files are staged and moved in when the job commits, so a failed job leaves the
         old slice in place. Slices named in ``refs`` for which ``df`` has no row are emptied.
         Without ``refs`` exactly the slices that occur in ``df`` are replaced.
-        ``rebalance`` evens out file sizes where a filter left little in each task.
+
+        ``rebalance`` shuffles rows so that each slice gets few, evenly sized files. The default
+        does it for several slices at once, where each task might hold rows of all of them; turn
+        it off when the source is already cut by slice, and on where a filter left little behind.
         """
-        wanted = None if refs is None else [require_ref(r) for r in dict.fromkeys([refs] if isinstance(refs, str) else refs)]
+        with _dynamic_overwrite(self.spark):
+            self._replace(spec, df, _as_list(refs), rebalance)
+
+    def replace_many(self, frames: dict[TableSpec, DataFrame], refs: str | Iterable[str] | None = None) -> None:
+        """Replace slices of several tables side by side: small writes are mostly waiting."""
+        wanted = _as_list(refs)
+        with _dynamic_overwrite(self.spark), ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+            run = inheritable_thread_target(self.spark)(self._replace)
+            for done in [pool.submit(run, spec, df, wanted, None) for spec, df in frames.items()]:
+                done.result()
+
+    def _replace(self, spec: TableSpec, df: DataFrame, wanted: list[str] | None, rebalance: bool | None) -> None:
         rows = spec.conform(df, stored=True)
+        several = wanted is None or len(wanted) > 1
         if wanted is not None:
             rows = rows.where(F.col(SLICE_KEY).isin(wanted))
-        if wanted is None or len(wanted) > 1:
-            rows = rows.hint("rebalance", SLICE_KEY)
-        elif rebalance:
-            rows = rows.hint("rebalance")
+        if several if rebalance is None else rebalance:
+            rows = rows.hint("rebalance", SLICE_KEY) if several else rows.hint("rebalance")
         seen = Observation()
         if wanted:
             rows = rows.observe(seen, *[F.count_if(F.col(SLICE_KEY) == r).alias(r) for r in wanted])
-        with _dynamic_overwrite(self.spark):
-            rows.write.mode("overwrite").insertInto(self.name(spec))
-        if wanted:
-            for ref in [r for r in wanted if not seen.get[r]]:
+        rows.write.mode("overwrite").insertInto(self.name(spec))
+        for ref in wanted or []:
+            if not seen.get[ref]:
                 self.clear(spec, ref)
 
     def clear(self, spec: TableSpec, ref: str) -> None:
