@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ouvidoria.functions.dates import br_timestamp
+from ouvidoria.session import path_exists
 
 # Fixed value: text form of the stored mark.
 MARK_FORMAT = "%d/%m/%Y %H:%M:%S"
@@ -60,9 +61,7 @@ class MarkStore:
     path: str
 
     def read(self) -> datetime | None:
-        hadoop_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop_path):
+        if not path_exists(self.spark, self.path):
             return None
         return self.spark.read.text(self.path).agg(F.max(br_timestamp(F.trim("value")))).first()[0]
 

@@ -76,10 +76,10 @@ def _mean(total: str, n: str, digits: int) -> str:
 def _best(level: int, parent: str) -> str:
     """Per narrative: the label with most distinct words, the earlier one among equals."""
     return (
-        "SELECT relato, label FROM ("
-        " SELECT w.relato, l.label, row_number() OVER (PARTITION BY w.relato ORDER BY count(*) DESC, l.position) AS r"
+        "SELECT id, label FROM ("
+        " SELECT w.id, l.label, row_number() OVER (PARTITION BY w.id ORDER BY count(*) DESC, l.position) AS r"
         f" FROM words w JOIN lexicon l ON l.word = w.word AND l.level = {level} {parent}"
-        " GROUP BY w.relato, l.label, l.position) WHERE r = 1"
+        " GROUP BY w.id, l.label, l.position) WHERE r = 1"
     )
 
 
@@ -106,18 +106,20 @@ _CTES: dict[str, str] = {
     "g_reclamacaouf": "SELECT nomefantasia, 'Brasil - ' || uf AS uf, datrefcarga, count(nomefantasia) AS "
     '"qtdReclamcoesUf" FROM silver GROUP BY ALL',
     "lexicon": f"SELECT * FROM (VALUES {_lexicon_rows()}) AS t(level, parent, position, label, word)",
-    "words": "SELECT DISTINCT relato, unnest(string_split_regex(lower(relato), '[^\\p{L}]+')) AS word "
-    "FROM (SELECT DISTINCT relato FROM daily WHERE relato IS NOT NULL)",
+    "keyed": "SELECT *, md5(relato) AS id FROM daily",
+    "words": "SELECT id, word FROM (SELECT id, unnest(list_distinct(string_split_regex(lower(relato), "
+    "'[^\\p{L}]+'))) AS word FROM (SELECT DISTINCT id, relato FROM keyed WHERE relato IS NOT NULL)) "
+    "WHERE word IN (SELECT word FROM lexicon)",
     "best_macro": _best(1, ""),
-    "macros": "SELECT n.relato, coalesce(b.label, 'Outros') AS macro FROM "
-    "(SELECT DISTINCT relato FROM daily WHERE relato IS NOT NULL) n LEFT JOIN best_macro b ON b.relato = n.relato",
-    "best_categoria": _best(2, "JOIN macros m ON m.relato = w.relato AND m.macro = l.parent"),
-    "best_subcategoria": _best(3, "JOIN macros m ON m.relato = w.relato AND m.macro = l.parent"),
+    "macros": "SELECT n.id, coalesce(b.label, 'Outros') AS macro FROM "
+    "(SELECT DISTINCT id FROM keyed WHERE id IS NOT NULL) n LEFT JOIN best_macro b ON b.id = n.id",
+    "best_categoria": _best(2, "JOIN macros m ON m.id = w.id AND m.macro = l.parent"),
+    "best_subcategoria": _best(3, "JOIN macros m ON m.id = w.id AND m.macro = l.parent"),
     "labelled": "SELECT d.*, m.macro AS macro_categoria, "
-    "CASE WHEN d.relato IS NOT NULL THEN coalesce(c.label, 'Outros') END AS categoria, "
-    "CASE WHEN d.relato IS NOT NULL THEN coalesce(s.label, 'Outros') END AS subcategoria FROM daily d "
-    "LEFT JOIN macros m ON m.relato = d.relato LEFT JOIN best_categoria c ON c.relato = d.relato "
-    "LEFT JOIN best_subcategoria s ON s.relato = d.relato",
+    "CASE WHEN d.id IS NOT NULL THEN coalesce(c.label, 'Outros') END AS categoria, "
+    "CASE WHEN d.id IS NOT NULL THEN coalesce(s.label, 'Outros') END AS subcategoria FROM keyed d "
+    "LEFT JOIN macros m ON m.id = d.id LEFT JOIN best_categoria c ON c.id = d.id "
+    "LEFT JOIN best_subcategoria s ON s.id = d.id",
     "routed": "SELECT *, " + ", ".join(f"{case} AS {name}" for name, case in _MACRO_CASE.items())
     + " FROM labelled WHERE nomeempresa LIKE '%Santander%'",
     "classified": "SELECT *, CASE WHEN relato IS NOT NULL THEN 'O relato sobre ' || subcategoria || ' (' || categoria "
@@ -130,10 +132,11 @@ _CTES: dict[str, str] = {
     "|| 'O caso de ' || macro_categoria || ' será reavaliado desde o início por ' || canal || '.' || chr(10) "
     "|| 'Um novo parecer, com as medidas adotadas, será enviado em até ' || sla_dias || ' dias úteis.' END "
     "ELSE '' END AS resposta_final FROM routed",
-    "g_ai_status": "SELECT status, dataocorrido, datrefcarga, count(*) AS qtd FROM classified GROUP BY ALL",
+    "g_ai_status": "SELECT status, dataocorrido, datrefcarga, count(*) AS qtd FROM daily "
+    "WHERE nomeempresa LIKE '%Santander%' GROUP BY ALL",
     "g_ai_nota": "SELECT regexp_replace(upper(nota), '[^0-9]', '', 'g') AS nota, dataocorrido, datrefcarga, "
-    "count(*) AS qtd FROM classified GROUP BY ALL",
-    "g_ai_macro_categoria": "SELECT macro_categoria, dataocorrido, datrefcarga, count(*) AS qtd FROM classified "
+    "count(*) AS qtd FROM daily WHERE nomeempresa LIKE '%Santander%' GROUP BY ALL",
+    "g_ai_macro_categoria": "SELECT macro_categoria, dataocorrido, datrefcarga, count(*) AS qtd FROM routed "
     "GROUP BY ALL",
     "ds_reclamacao": f'SELECT {_PLAIN_LABEL} AS "Banco", qtdreclamcoes AS "Qtd_Reclamacoes", '
     'datrefcarga AS "Ano_Mes" FROM g_reclamacaotopten',

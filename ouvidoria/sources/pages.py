@@ -123,4 +123,4 @@ def malformed_pages(df: DataFrame, xhtml: str) -> DataFrame:
 
 def _is_malformed(c: Column) -> Column:
     parsed = F.from_xml(c, "_corrupt_record string, head string", {"mode": "PERMISSIVE"})
-    return F.coalesce(parsed["_corrupt_record"].isNotNull(), F.lit(True))
+    return parsed["_corrupt_record"].isNotNull()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ouvidoria.schemas import ALL_TABLES, BRONZE, GOLD, SILVER, SLICE_KEY, TableSpec
-from ouvidoria.session import require_ref
+from ouvidoria.session import path_exists, require_ref
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -61,28 +61,36 @@ class Warehouse:
     # -- life cycle ---------------------------------------------------------------------
 
     def create(self, specs: Iterable[TableSpec] = tuple(ALL_TABLES)) -> DataFrame:
-        """Create databases and tables where they are missing; raises if any table fails."""
+        """Create databases and tables where they are missing; raises if any of them fails.
+
+        A new table takes up the slices that already lie at its location.
+        """
         specs = list(specs)
-        statements = [
-            (f"CREATE DATABASE IF NOT EXISTS {self.prefix}{db}", db, None)
+        phases = [
+            ([f"CREATE DATABASE IF NOT EXISTS {self.prefix}{db}"], db, None)
             for db in dict.fromkeys(s.database for s in specs)
         ]
-        statements += [(self._ddl(spec), spec.database, spec.name) for spec in specs]
-        return self._phases(statements)
+        for spec in specs:
+            statements = [self._ddl(spec)]
+            known = self.spark.catalog.tableExists(self.name(spec))
+            if not known and path_exists(self.spark, self.location(spec.path_suffix)):
+                statements.append(f"ALTER TABLE {self.name(spec)} RECOVER PARTITIONS")
+            phases.append((statements, spec.database, spec.name))
+        return self._phases(phases)
 
     def drop(self) -> DataFrame:
         """Drop tables, then databases, gold first. Data files stay, as the tables are external."""
-        statements = []
+        phases = []
         for database in (GOLD, SILVER, BRONZE):
             if not self.spark.catalog.databaseExists(f"{self.prefix}{database}"):
                 continue
-            statements += [
-                (f"DROP TABLE IF EXISTS {self.name(spec)}", database, spec.name)
+            phases += [
+                ([f"DROP TABLE IF EXISTS {self.name(spec)}"], database, spec.name)
                 for spec in ALL_TABLES
                 if spec.database == database
             ]
-            statements.append((f"DROP DATABASE IF EXISTS {self.prefix}{database} CASCADE", database, None))
-        return self._phases(statements)
+            phases.append(([f"DROP DATABASE IF EXISTS {self.prefix}{database} CASCADE"], database, None))
+        return self._phases(phases)
 
     def _ddl(self, spec: TableSpec) -> str:
         columns = ", ".join(f"{name} {dtype}" for name, dtype in spec.stored_columns())
@@ -91,12 +99,13 @@ class Warehouse:
             f"PARTITIONED BY ({SLICE_KEY}) LOCATION '{self.location(spec.path_suffix)}'"
         )
 
-    def _phases(self, statements: list[tuple[str, str, str | None]]) -> DataFrame:
-        """Run every statement, even after a failure; then report, or raise if any failed."""
+    def _phases(self, phases: list[tuple[list[str], str, str | None]]) -> DataFrame:
+        """Run every phase, even after a failure; then report, or raise if any failed."""
         rows, failures = [], []
-        for statement, database, table in statements:
+        for statements, database, table in phases:
             try:
-                self.spark.sql(statement)
+                for statement in statements:
+                    self.spark.sql(statement)
                 rows.append((database, table, True))
             except Exception as error:  # noqa: BLE001 - collected and raised below
                 rows.append((database, table, False))

@@ -1,0 +1,112 @@
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from ouvidoria import schemas as S
+from ouvidoria.sources.tables import Warehouse
+
+SPEC = S.GOLD_TOP_TEN
+
+
+@pytest.fixture
+def wh(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), f"u{uuid.uuid4().hex[:8]}_")
+    warehouse.create()
+    yield warehouse
+    warehouse.drop()
+
+
+def counts(spark, *data):
+    return spark.createDataFrame(data, "qtdreclamcoes long, nomefantasia string, datrefcarga string")
+
+
+def test_twelve_tables_with_the_declared_columns(wh, spark):
+    assert len(S.ALL_TABLES) == 12
+    for spec in S.ALL_TABLES:
+        assert wh.table(spec).dtypes == [(n, t) for n, t in spec.columns]
+    report = wh.create()  # again: nothing to do, nothing fails
+    assert report.count() == 15 and report.where("not ok").count() == 0
+
+
+def test_replace_is_idempotent_and_leaves_other_slices(wh, spark, rows):
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01"), (2, "B", "2024-02")))
+    for _ in range(2):
+        wh.replace(SPEC, counts(spark, (7, "C", "2024-02")), "2024-02")
+    assert rows(wh.table(SPEC)) == [("A", "2024-01", 1), ("C", "2024-02", 7)]
+
+
+def test_columns_are_matched_by_name_not_position(wh, spark, rows):
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01")), "2024-01")
+    assert wh.table(SPEC).columns == ["nomefantasia", "datrefcarga", "qtdreclamcoes"]
+    assert rows(wh.table(SPEC)) == [("A", "2024-01", 1)]
+
+
+def test_empty_load_clears_its_slice_only(wh, spark, rows):
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01"), (2, "B", "2024-02")))
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01")).where("false"), "2024-02")
+    assert rows(wh.table(SPEC)) == [("A", "2024-01", 1)]
+
+
+def test_named_slices_bound_what_is_written(wh, spark, rows):
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01"), (2, "B", "2024-02"), (3, "C", "2024-03")))
+    wh.replace(SPEC, counts(spark, (9, "Z", "2024-01"), (9, "Z", "2024-03")), ["2024-01", "2024-02"])
+    assert rows(wh.table(SPEC)) == [("C", "2024-03", 3), ("Z", "2024-01", 9)]
+
+
+def test_failed_job_keeps_the_old_slice(wh, spark, rows):
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01")))
+    broken = counts(spark, (1, "A", "2024-01")).withColumn("nomefantasia", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        wh.replace(SPEC, broken, "2024-01")
+    assert rows(wh.table(SPEC)) == [("A", "2024-01", 1)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_append_doubles(wh, spark):
+    for _ in range(2):
+        wh.append(SPEC, counts(spark, (1, "A", "2024-01")))
+    assert wh.table(SPEC).count() == 2
+
+
+def test_several_tables_side_by_side(wh, spark, rows):
+    uf = spark.createDataFrame([("A", "Brasil - SP", "2024-01", 4)], "nomefantasia string, uf string, datrefcarga string, qtdReclamcoesUf long")
+    wh.replace_many({SPEC: counts(spark, (1, "A", "2024-01")), S.GOLD_UF: uf}, "2024-01")
+    assert rows(wh.table(SPEC)) == [("A", "2024-01", 1)]
+    assert rows(wh.table(S.GOLD_UF)) == [("A", "Brasil - SP", "2024-01", 4)]
+
+
+def test_slice_scan_prunes_partitions(wh, spark, plan, rows):
+    wh.replace(S.BRONZE_DAILY, spark.createDataFrame(
+        [tuple(["Banco Santander"] * 10 + [r]) for r in ("20240101", "20240102")],
+        S.string_struct(S.BRONZE_DAILY.column_names)))
+    df = wh.slice_like(S.BRONZE_DAILY, "20240102", "nomeempresa", "%Santander%").select("nomeempresa")
+    text = plan(df)
+    assert "PartitionFilters: [isnotnull(datrefcarga" in text and "StringContains(nomeempresa,Santander)" in text
+    assert "ReadSchema: struct<nomeempresa:string>" in text
+    assert df.count() == 1
+
+
+def test_drop_keeps_files_and_create_finds_them(wh, spark):
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01")))
+    wh.drop()
+    assert not spark.catalog.databaseExists(f"{wh.prefix}g_consumidor")
+    assert wh.drop().count() == 0  # nothing left to drop
+    assert spark.read.parquet(wh.location(SPEC.path_suffix)).count() == 1
+    wh.create()
+    assert wh.table(SPEC).count() == 1
+
+
+def test_all_phases_run_before_a_failure_is_raised(wh, spark):
+    bad = S.TableSpec(S.GOLD, "quebrada", (("x", "no_such_type"), (S.SLICE_KEY, "string")))
+    good = S.TableSpec(S.GOLD, "boa", (("x", "int"), (S.SLICE_KEY, "string")))
+    with pytest.raises(RuntimeError, match="quebrada"):
+        wh.create([bad, good])
+    assert spark.catalog.tableExists(wh.name(good))
+
+
+def test_environment_location(spark):
+    wh = Warehouse.for_env(spark, "dev", "/base/{env}/lake")
+    assert wh.location("data/x") == "/base/dev/lake/data/x"
+    with pytest.raises(ValueError):
+        Warehouse.for_env(spark, "", "/base/{env}")
