@@ -392,15 +392,15 @@ def daily_classified(spark, sf):
     return S.SILVER_DAILY.conform(classified(spark, sf))
 
 
-def _length(texts: pd.Series) -> pd.Series:
-    return texts.str.len()
-
-
 @_query
 def batch_score(spark, sf):
     """The model hook with a stand-in scorer."""
+
+    def length(texts: pd.Series) -> pd.Series:
+        return texts.str.len()
+
     narratives = complaints_daily(spark, sf).select("relato")
-    return scoring.batch_score(narratives, "relato", _length, "pontos", "bigint").select(
+    return scoring.batch_score(narratives, "relato", length, "pontos", "bigint").select(
         F.md5("relato").alias("relato_md5"), "pontos"
     )
 
