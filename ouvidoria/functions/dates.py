@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,3 +51,12 @@ def daily_ref(day: Column, explicit: Column | None = None) -> Column:
 
 def _explicit_or(explicit: Column, default: Column) -> Column:
     return F.when(F.trim(explicit) != "", explicit).otherwise(default)
+
+
+def scheduled_ref(feed: str, today: date, explicit: str = "") -> str:
+    """The same for a scheduler, as text: ``feed`` is ``monthly`` or ``daily``."""
+    if explicit.strip():
+        return explicit.strip()
+    if feed == "monthly":
+        return (today - timedelta(days=30)).strftime("%Y-%m")
+    return today.strftime("%Y%m%d")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ouvidoria import schemas as S
-from ouvidoria.operators import classify, conform, gold
+from ouvidoria.operators import classify, conform, gold, scoring
 from ouvidoria.session import require_ref
 from ouvidoria.sources import feeds
 from ouvidoria.sources.tables import Warehouse
@@ -17,6 +17,16 @@ from ouvidoria.sources.tables import Warehouse
 _MONTHLY_GOLDS = {t.name: t for t in (S.GOLD_PROBLEMA, S.GOLD_AVALIACAO, S.GOLD_RESPOSTA, S.GOLD_TOP_TEN, S.GOLD_UF)}
 _DAILY_GOLDS = {t.name: t for t in (S.GOLD_STATUS, S.GOLD_NOTA, S.GOLD_MACRO)}
 
+_SINGLE_GOLDS = {
+    "grupoproblema": (S.SILVER_MONTHLY, gold.grupo_problema),
+    "mediaavaliacao": (S.SILVER_MONTHLY, gold.media_avaliacao),
+    "mediaresposta": (S.SILVER_MONTHLY, gold.media_resposta),
+    "reclamacaouf": (S.SILVER_MONTHLY, gold.reclamacao_uf),
+    "ai_status": (S.SILVER_DAILY, gold.ai_status),
+    "ai_nota": (S.SILVER_DAILY, gold.ai_nota),
+    "ai_macro_categoria": (S.SILVER_DAILY, gold.ai_macro_categoria),
+}
+
 Refs = str | Iterable[str] | None
 
 
@@ -45,13 +55,24 @@ def build_silver_monthly(wh: Warehouse, refs: Refs = None) -> None:
     wh.replace(S.SILVER_MONTHLY, conform.silver_monthly(bronze), refs, rebalance=True)
 
 
-def build_silver_daily(wh: Warehouse, refs: Refs = None, institution: str = "Santander", append: bool = False) -> None:
-    bronze = _scope(wh.table(S.BRONZE_DAILY), refs)
-    classified = classify.classified_daily(conform.of_institution(bronze, institution))
+def build_silver_daily(
+    wh: Warehouse,
+    refs: Refs = None,
+    institution: str = "Santander",
+    append: bool = False,
+    answer: scoring.Answer | None = None,
+    model: str | None = None,
+) -> None:
+    """Classified narratives of one institution, by the lexicon or by ``answer(prompts, model)``."""
+    rows = conform.of_institution(_scope(wh.table(S.BRONZE_DAILY), refs), institution)
+    if answer is None:
+        rows = classify.classified_daily(rows)
+    else:
+        rows = scoring.classified_daily_by_model(rows, answer, model)
     if append:
-        wh.append(S.SILVER_DAILY, classified)
+        wh.append(S.SILVER_DAILY, rows)
     else:
-        wh.replace(S.SILVER_DAILY, classified, refs, rebalance=True)
+        wh.replace(S.SILVER_DAILY, rows, refs, rebalance=True)
 
 
 def _build_golds(wh: Warehouse, rollup: DataFrame, golds, tables: dict[str, S.TableSpec], refs: Refs) -> None:
@@ -78,6 +99,15 @@ def build_gold_daily(wh: Warehouse, refs: Refs = None) -> None:
     _build_golds(wh, gold.daily_rollup(silver), gold.daily_golds, _DAILY_GOLDS, refs)
 
 
+def build_one_gold(wh: Warehouse, table: str, ref: str) -> None:
+    """A single gold of one load straight from silver."""
+    if table == S.GOLD_TOP_TEN.name:
+        source, aggregate = S.SILVER_MONTHLY, lambda df: gold.reclamacao_top_ten_of(df, ref)
+    else:
+        source, aggregate = _SINGLE_GOLDS[table]
+    wh.replace({t.name: t for t in S.GOLD_TABLES}[table], aggregate(wh.slice(source, ref)), ref)
+
+
 def run_monthly(wh: Warehouse, root: str, ref: str) -> None:
     load_bronze_monthly(wh, root, ref)
     build_silver_monthly(wh, ref)

@@ -66,14 +66,14 @@ _GOLDS: dict[str, tuple[Query, Callable[[DataFrame], DataFrame]]] = {
 _SPECS = {spec.name: spec for spec in S.GOLD_TABLES}
 
 
-def gold_frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    source, aggregate = _GOLDS[name]
-    return _SPECS[name].conform(aggregate(source(spark, sf)))
+def gold_frame(spark: SparkSession, sf: str, name: str, source: DataFrame | None = None) -> DataFrame:
+    feed, aggregate = _GOLDS[name]
+    return _SPECS[name].conform(aggregate(feed(spark, sf) if source is None else source))
 
 
-def dataset_frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def dataset_frame(spark: SparkSession, sf: str, name: str, source: DataFrame | None = None) -> DataFrame:
     gold_name, build = dashboard.DATASETS[name]
-    return build(gold_frame(spark, sf, gold_name))
+    return build(gold_frame(spark, sf, gold_name, source))
 
 
 def widget_frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -408,9 +408,12 @@ def batch_score(spark, sf):
 # -- cross-filters ----------------------------------------------------------------------------
 
 
-def _facets(spark, sf, name: str, datasets: list[str], selections: dashboard.Selections) -> DataFrame:
+def _facets(source: DataFrame, name: str, datasets: list[str], selections: dashboard.Selections) -> DataFrame:
+    """The facet over every dataset of one feed."""
+    spark = source.sparkSession
     parts = [
-        dashboard.facet(dataset_frame(spark, sf, d), name, selections).withColumn("dataset", F.lit(d)) for d in datasets
+        dashboard.facet(dataset_frame(spark, "", d, source), name, selections).withColumn("dataset", F.lit(d))
+        for d in datasets
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -427,17 +430,17 @@ def cross_filter(spark, sf):
 
 @_query
 def facet_banco(spark, sf):
-    return _facets(spark, sf, "Banco", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
+    return _facets(silver(spark, sf), "Banco", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
 
 
 @_query
 def facet_ano_mes(spark, sf):
-    return _facets(spark, sf, "Ano_Mes", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
+    return _facets(silver(spark, sf), "Ano_Mes", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
 
 
 @_query
 def facet_data_ocorrido(spark, sf):
-    return _facets(spark, sf, "Data_Ocorrido", _DAILY_DATASETS, {"Banco": BANKS})
+    return _facets(classified(spark, sf), "Data_Ocorrido", _DAILY_DATASETS, {"Banco": BANKS})
 
 
 # -- incremental ------------------------------------------------------------------------------

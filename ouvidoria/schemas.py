@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_KEY = "datrefcarga"
@@ -75,7 +76,7 @@ class TableSpec:
     def conform(self, df: DataFrame, stored: bool = False) -> DataFrame:
         """Select by name, in declared or physical order, with the declared name and type."""
         columns = self.stored_columns() if stored else self.columns
-        return df.select(*[df[name].cast(dtype).alias(name) for name, dtype in columns])
+        return df.select(*[F.col(name).cast(dtype).alias(name) for name, dtype in columns])
 
 
 def _spec(database: str, name: str, columns: list[tuple[str, str]]) -> TableSpec:

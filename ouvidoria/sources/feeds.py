@@ -88,9 +88,9 @@ def write_feed(
     With ``slices`` each load reference goes to its own folder; the rebalancing before it
     keeps one slice from being scattered over every task, and splits the big ones.
     """
-    columns = [df[name] for name in fields]
+    columns = [F.col(name) for name in fields]
     if slices:
-        df = df.select(*columns, df[SLICE_KEY]).hint("rebalance", SLICE_KEY)
+        df = df.select(*columns, SLICE_KEY).hint("rebalance", SLICE_KEY)
     else:
         df = df.select(*columns)
     writer = (
