@@ -5,6 +5,7 @@ Classification is written another way than in Spark, as joins with a keyword tab
 
 from __future__ import annotations
 
+from ouvidoria.functions.text import BANK_WORD, FULL_NAME_BANKS
 from ouvidoria.operators import taxonomy
 from ouvidoria.plans import registry
 from ouvidoria.plans.fixtures import COMPLAINTS_DAILY_SQL, COMPLAINTS_MONTHLY_SQL
@@ -64,8 +65,8 @@ def _lexicon_rows() -> str:
 
 _HALF_UP = "floor(({total} * {scale} * 2 + {n}) / (2.0 * {n})) / {scale}.0"
 _PLAIN_LABEL = (
-    "CASE WHEN trim(nomefantasia) IN ('Banco do Brasil', 'Banco do Nordeste') THEN nomefantasia "
-    "ELSE trim(replace(nomefantasia, 'Banco', '')) END"
+    f"if(list_contains([{', '.join(map(_quote, FULL_NAME_BANKS))}], trim(nomefantasia)), nomefantasia, "
+    f"trim(replace(nomefantasia, {_quote(BANK_WORD)}, '')))"
 )
 
 
