@@ -180,6 +180,8 @@ class Warehouse:
             f"SELECT {data} WHERE false"
         )
 
-    def append(self, spec: TableSpec, df: DataFrame) -> None:
+    def append(self, spec: TableSpec, df: DataFrame, rebalance: bool = True) -> None:
         """Plain insert: a second run doubles the slice. Prefer ``replace``."""
-        spec.conform(df, stored=True).write.mode("append").insertInto(self.name(spec))
+        rows = spec.conform(df, stored=True)
+        rows = rows.hint("rebalance", SLICE_KEY) if rebalance else rows
+        rows.write.mode("append").insertInto(self.name(spec))
