@@ -78,10 +78,12 @@ def build_silver_daily(
 def _build_golds(wh: Warehouse, rollup: DataFrame, golds, tables: dict[str, S.TableSpec], refs: Refs) -> None:
     """The rollup holds group counts only; it is kept while the golds are written from it.
 
-    An executor lost meanwhile costs a recomputation of its part, not the run.
+    It is filled before the writes start side by side, so that silver is scanned once. An executor
+    lost meanwhile costs a recomputation of its part, not the run.
     """
     rollup = rollup.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        rollup.count()
         wh.replace_many({tables[name]: df for name, df in golds(rollup).items()}, refs)
     finally:
         rollup.unpersist()
