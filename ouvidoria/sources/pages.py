@@ -80,13 +80,14 @@ def extract_records(df: DataFrame, html: str, patterns: dict[str, str]) -> DataF
     return zip_shortest(df, lists).drop(html)
 
 
-def portal_records(df: DataFrame, xhtml: str) -> DataFrame:
-    """The ten daily fields from a results page serialised as well-formed XHTML.
+def portal_records(df: DataFrame, html: str) -> DataFrame:
+    """The ten daily fields from results pages.
 
-    A page that is not well-formed gives no rows instead of failing the job; count them with
-    ``malformed_pages``.
+    A page whose elements are not properly nested gives no rows instead of failing the job; find
+    such pages with ``malformed_pages``.
     """
-    page = _one_text_per_element(F.when(~_is_malformed(F.col(xhtml)), F.col(xhtml)))
+    xml = _as_xml(F.col(html))
+    page = F.when(~_is_malformed(xml), xml)
 
     def texts(path: str) -> Column:
         found = F.xpath(page, F.lit(f"{path}/text()"))
@@ -106,21 +107,36 @@ def portal_records(df: DataFrame, xhtml: str) -> DataFrame:
         "Nota": every_other(last, 0),
         "Comentario": every_other(last, 1),
     }
-    return zip_shortest(df, lists).drop(xhtml)
-
+    return zip_shortest(df, lists).drop(html)
 
-def _one_text_per_element(c: Column) -> Column:
-    """Drop comments and inline tags and fill empty elements, so that each has one text node."""
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
-    c = F.regexp_replace(c, r"(?i)</?(?:br|b|i|u|em|strong|small)(?:\s[^>]*)?/?>", " ")
-    c = F.regexp_replace(c, r"<(p|span|h4|a)((?:\s[^>]*)?)/>", "<$1$2> </$1>")
-    return F.regexp_replace(c, r"<(p|span|h4|a)((?:\s[^>]*)?)></\1>", "<$1$2> </$1>")
 
+def malformed_pages(df: DataFrame, html: str) -> DataFrame:
+    return df.where(_is_malformed(_as_xml(F.col(html))))
 
-def malformed_pages(df: DataFrame, xhtml: str) -> DataFrame:
-    return df.where(_is_malformed(F.col(xhtml)))
 
+def _as_xml(c: Column) -> Column:
+    """Page as an XML document in which every element has one text node.
 
-def _is_malformed(c: Column) -> Column:
-    parsed = F.from_xml(c, "_corrupt_record string, head string", {"mode": "PERMISSIVE"})
-    return parsed["_corrupt_record"].isNotNull()
+    Drops what carries no text (comments, declarations, scripts, void and inline tags, control
+    characters), escapes bare ampersands, fills empty elements and adds a root.
+    """
+    for pattern, by in (
+        (r"(?s)<!--.*?-->|<\?.*?\?>|<![^>]*>", ""),
+        (r"(?is)<(script|style)\b.*?</\1\s*>", ""),
+        (r"(?i)<(?:meta|link|img|input|hr|base|wbr|area|col|source)\b[^>]*>", ""),
+        (r"(?i)</?(?:br|b|i|u|em|strong|small)(?:\s[^>]*)?/?>", " "),
+        (r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""),
+        (r"&nbsp;", " "),
+        (r"&(?![#\w]+;)", "&amp;"),
+        (r"<(p|span|h4|a)((?:\s[^>]*)?)/>", "<$1$2> </$1>"),
+        (r"<(p|span|h4|a)((?:\s[^>]*)?)></\1>", "<$1$2> </$1>"),
+    ):
+        c = F.regexp_replace(c, pattern, by)
+    return F.concat(F.lit("<page>"), c, F.lit("</page>"))
+
+
+def _is_malformed(xml: Column) -> Column:
+    """Not nested properly, or with an entity that XML does not know."""
+    parsed = F.from_xml(xml, "_corrupt_record string, head string", {"mode": "PERMISSIVE"})
+    unknown_entity = xml.rlike(r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)")
+    return parsed["_corrupt_record"].isNotNull() | unknown_entity

@@ -51,6 +51,19 @@ def test_broken_page_gives_no_rows_but_can_be_found(spark):
     assert [r.id for r in pages.malformed_pages(df, "page").collect()] == [1]
 
 
+def test_odd_pages_never_fail_a_job(spark):
+    odd = [
+        "no markup", "", "<p>a&nbsp;b & c</p>", "<html><body><br><img src='x'></body></html>",
+        "<!DOCTYPE html><html><head><meta charset='utf-8'><script>if (a<b && c) {}</script></head><h4>a</h4></html>",
+        "<h4>a</h4> trailing <b>", "<p>x</p><p>y</p>", "<p>\x01control</p>", "<p>&ccedil;</p>", "<p a='1' a='2'>x</p>",
+        "<div><p>x</div>", "<", "<a b>", "</p>", "<x:y>n</x:y>", "&#0;", "<p>]]></p>",
+    ]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(odd)], "id int, html string")
+    assert pages.portal_records(df, "html").count() == 0
+    assert {8, 9, 10, 11, 12, 13} <= {r.id for r in pages.malformed_pages(df, "html").collect()}
+    assert not {0, 1, 2, 3, 4, 5, 6, 7} & {r.id for r in pages.malformed_pages(df, "html").collect()}
+
+
 def test_element_text(spark):
     df = spark.createDataFrame([("<p>a &amp;lt; <b>b</b>\n c&gt;</p>",)], "x string")
     assert df.select(pages.element_text(F.col("x"))).first()[0] == "a &lt; b c>"
