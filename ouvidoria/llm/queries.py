@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ouvidoria.llm import exact_dedup, mixing, packing, quality, simhash, topk
+from ouvidoria.llm import (
+    exact_dedup,
+    language_id,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    suffix_tree,
+    topk,
+    toxicity,
+)
 from ouvidoria.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +34,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+def op3_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +46,14 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -42,14 +64,24 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    queries = [op1_exact_topk, op2_exact_dedup, op4_quality_rules, op5_source_mix, op9_simhash, op10_best_fit_packing]
+    queries = [
+        op1_exact_topk,
+        op2_exact_dedup,
+        op3_language_codes,
+        op4_quality_rules,
+        op5_source_mix,
+        op7_suffix_tree,
+        op8_toxicity,
+        op9_simhash,
+        op10_best_fit_packing,
+    ]
     return {q.__name__: q for q in queries} | {"pipeline": corpus_pipeline.run}
 
 
 _TOP_K = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, w.vec_id, CAST(list_inner_product(q.v, w.v) AS BIGINT) AS score
     FROM whole q JOIN whole w ON q.vec_id <> w.vec_id WHERE q.vec_id % 100 = 0
