@@ -13,6 +13,7 @@ from ouvidoria.llm import (
     language_id,
     mixing,
     packing,
+    phrases,
     quality,
     simhash,
     suffix_tree,
@@ -46,6 +47,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op6_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.lm_scores(table(spark, sf_dir, "documents"))
 
@@ -70,6 +76,7 @@ def registered() -> dict[str, Query]:
         op3_language_codes,
         op4_quality_rules,
         op5_source_mix,
+        op6_repeated_phrases,
         op7_suffix_tree,
         op8_toxicity,
         op9_simhash,
@@ -140,6 +147,27 @@ SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least
 FROM ordered
 """
 
+_REPEATS = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), p AS (
+    SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w
+), g AS (
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(array_to_string(ws[i:i+49], ' '))) AS first FROM p
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM g WHERE first < doc_id
+), words AS (
+    SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM words ANTI JOIN covered USING (doc_id, j) GROUP BY doc_id
+), removed AS (
+    SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_exact_topk": _TOP_K, "op2_exact_dedup": _EXACT_DEDUP, "op5_source_mix": _MIX}
+    return {"op1_exact_topk": _TOP_K, "op2_exact_dedup": _EXACT_DEDUP, "op5_source_mix": _MIX, "op6_repeated_phrases": _REPEATS}
