@@ -148,24 +148,30 @@ def source_rows(docs: DataFrame, sources: DataFrame, window: int, anchor: int) -
     def run(frames):
         hasher = Hasher(window, anchor)
         for frame in frames:
-            rows, windows = [], []
+            rows, hashes, owners = [], [], []
             for doc_id, text, pieces in zip(frame["doc_id"], frame["text"], frame["pieces"], strict=True):
                 words = text.encode().split()
                 prefix = hasher.prefix(hasher.of(words))
-                for p in pieces:
-                    a, b = p["start"], p["start"] + p["windows"] - 1 + window
-                    # Another row with this id may have given the segment; then that row has the words.
-                    if b > len(words) or hasher.runs(prefix, np.array([a]), np.array([b]))[0] != p["segment"]:
-                        continue
-                    rows.append((p["segment"], doc_id, p["place"], b" ".join(words[a:b]).decode()))
-                    if p["shared"]:
-                        at = np.arange(a, a + p["windows"])
-                        windows.append((hasher.runs(prefix, at, at + window), p["segment"], doc_id))
-            yield pd.DataFrame(rows, columns=["segment", "source", "place", "words"]).assign(hash=0)[
-                ["segment", "source", "place", "words", "hash"]
-            ]
-            for hashes, segment, doc_id in windows:
-                yield pd.DataFrame({"segment": segment, "source": doc_id, "place": 0, "words": None, "hash": hashes})
+                segment, start, count, place, shared = (np.array([p[f] for p in pieces]) for f in fields)
+                end = start.astype(np.int64) + count - 1 + window
+                fits = end <= len(words)
+                # Another row with this id may have given a segment; then that row has the words.
+                same = hasher.runs(prefix, start[fits], end[fits]) == segment[fits]
+                mine = np.flatnonzero(fits)[same]
+                for i in mine.tolist():
+                    rows.append((segment[i], doc_id, place[i], b" ".join(words[start[i] : end[i]]).decode()))
+                split = mine[shared[mine]]
+                if len(split):
+                    n = count[split].astype(np.int64)
+                    at = np.repeat(start[split] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    hashes.append(hasher.runs(prefix, at, at + window))
+                    owners.append((np.repeat(segment[split], n), doc_id))
+            out = pd.DataFrame(rows, columns=["segment", "source", "place", "words"])
+            yield out.assign(hash=0)
+            if hashes:
+                of = np.concatenate([o for o, _ in owners])
+                sources = np.repeat(np.array([d for _, d in owners], np.int64), [len(o) for o, _ in owners])
+                yield pd.DataFrame({"segment": of, "source": sources, "place": 0, "words": None, "hash": np.concatenate(hashes)})
 
     return joined.mapInPandas(run, "segment long, source long, place int, words string, hash long")
 
