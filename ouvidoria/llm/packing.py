@@ -32,7 +32,7 @@ TOKENIZER = "byte_bpe_50k.json"
 LARGE = 8
 GROUPS = 256
 # Chunks of text whose ids a task remembers, in each of two generations.
-REMEMBERED = 700_000
+REMEMBERED = 1_500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # A chunk ends before a single space that a visible character follows: the tokenizer never joins across that place.
