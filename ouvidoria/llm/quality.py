@@ -179,6 +179,8 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> RuleEnsemble:
         share = float(np.clip(y.mean(), 1e-4, 1 - 1e-4)) if len(y) else 0.5
         return RuleEnsemble([], float(np.log(share / (1 - share))))
     rules = tree_rules(x, y)
+    if not rules:
+        return RuleEnsemble([], float(np.log(y.mean() / (1 - y.mean()))))
     z = np.stack([holds(r, x) for r in rules], axis=1).astype(float)
     weights, intercept = lasso(z, y, penalty)
     return RuleEnsemble([(r, float(w)) for r, w in zip(rules, weights, strict=True) if abs(w) > 1e-6], float(intercept))
