@@ -46,7 +46,7 @@ def load_bronze_monthly(wh: Warehouse, root: str, ref: str, multi_line: bool = F
 def load_bronze_daily(wh: Warehouse, root: str, ref: str) -> None:
     """One daily load from ``reclamacoes_{ref}.csv`` under ``root``."""
     df = feeds.read_daily(wh.spark, feeds.daily_path(root, ref))
-    wh.replace(S.BRONZE_DAILY, feeds.with_slice(df, ref), ref)
+    wh.replace(S.BRONZE_DAILY, feeds.with_slice(df, ref), ref, rebalance=True)
 
 
 def build_silver_monthly(wh: Warehouse, refs: Refs = None) -> None:
@@ -125,9 +125,11 @@ def run_daily(wh: Warehouse, root: str, ref: str, institution: str = "Santander"
 def backfill_monthly(wh: Warehouse, bronze: DataFrame, refs: Refs = None, rebalance: bool | None = None) -> None:
     """Many loads at once: one job per table instead of one per load and table.
 
+    Silver and gold get exactly the slices that bronze replaced, so a load whose rows all fail the filter is emptied.
+
     ``rebalance=False`` saves a shuffle of the whole feed when its files are cut by load already.
     """
-    wh.replace(S.BRONZE_MONTHLY, bronze, refs, rebalance)
+    refs = wh.replace(S.BRONZE_MONTHLY, bronze, refs, rebalance)
     build_silver_monthly(wh, refs)
     build_gold_monthly(wh, refs)
 
@@ -139,6 +141,6 @@ def backfill_daily(
     institution: str = "Santander",
     rebalance: bool | None = None,
 ) -> None:
-    wh.replace(S.BRONZE_DAILY, bronze, refs, rebalance)
+    refs = wh.replace(S.BRONZE_DAILY, bronze, refs, rebalance)
     build_silver_daily(wh, refs, institution)
     build_gold_daily(wh, refs)

@@ -224,6 +224,17 @@ _SLICE_TOTALS = (
 _DAILY_COLUMNS = ", ".join(c.lower() for c in DAILY_FIELDS)
 _BY_MONTH = f'"Ano_Mes" IN {_in(registry.MONTHS)}'
 _BY_BANK = f'"Banco" IN {_in(registry.BANKS)}'
+
+def _plain(fragment: str) -> str:
+    """Visible text of a fragment: tags out, the entities that markup needs decoded, blanks collapsed."""
+    text = f"regexp_replace({fragment}, '<[^>]*>', '', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{char}')"
+    return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+
+
+# By splitting instead of matching: what follows each opening tag, up to its end or the next opening.
+_PARAGRAPHS = f"list_transform(string_split(html, '<p>')[2:], lambda x: {_plain("split_part(x, '</p>', 1)")})"
 _PLACE = r"'^([^,]*),\s*(.*)\s-\s*([^-]*)$'"
 
 
@@ -269,6 +280,7 @@ def _bodies() -> dict[str, str]:
         "AND nomeempresa LIKE '%Santander%'",
         "slice_replace_idempotent": _SLICE_TOTALS.format(times=1, where=""),
         "slice_replace_empty": _SLICE_TOTALS.format(times=1, where=f"WHERE datrefcarga <> '{registry.MONTHLY_REF}'"),
+        "backfill_emptied_slice": _SLICE_TOTALS.format(times=1, where=f"WHERE datrefcarga <> '{registry.MONTHLY_REF}'"),
         "slice_append": _SLICE_TOTALS.format(times=2, where=""),
         "catalog_create": _counts(
             [
@@ -307,7 +319,7 @@ def _bodies() -> dict[str, str]:
         "deinterleave": "SELECT page_id, max(item) FILTER (WHERE i % 2 = 1) AS nota, "
         "max(item) FILTER (WHERE i % 2 = 0) AS comentario FROM ("
         "SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) AS i FROM ("
-        "SELECT page_id, regexp_extract_all(html, '<p>([^<]*)', 1) AS items FROM pages)) "
+        f"SELECT page_id, {_PARAGRAPHS} AS items FROM pages)) "
         "GROUP BY page_id, (i - 1) // 2 HAVING count(*) = 2",
         "url_to_key": "SELECT page_id, replace(url, 'https', 'http') AS url, "
         "'tmp/' || regexp_extract(replace(url, 'https', 'http'), '([^/]*)$', 1) AS chave FROM pages",
@@ -319,9 +331,14 @@ def _bodies() -> dict[str, str]:
         "replace(unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)), '&amp;', '&') AS href FROM pages) "
         f"WHERE href <> '' AND contains(href, '{registry.LINK_TEXT}')",
         "html_record_extract": "SELECT page_id, url, r[1] AS link, r[2] AS titulo, r[3] AS paragrafo FROM ("
-        "SELECT page_id, url, unnest(list_zip(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), "
-        "regexp_extract_all(html, '<a [^>]*>([^<]*)</a>', 1), regexp_extract_all(html, '<p>([^<]*)', 1), true)) AS r "
-        "FROM pages)",
+        "SELECT page_id, url, unnest(list_zip(list_transform(a, lambda x: replace(split_part(x, '\"', 1), '&amp;', '&')), "
+        f"list_transform(a, lambda x: {_plain("substr(split_part(x, '</a>', 1), strpos(x, '>') + 1)")}), {_PARAGRAPHS}, true)) AS r "
+        "FROM (SELECT page_id, url, html, string_split(html, '<a href=\"')[2:] AS a FROM pages))",
+        "portal_records": "SELECT trim(regexp_replace(coalesce(nomeempresa, ''), '\\s+', ' ', 'g')) AS nomeempresa, "
+        "trim(regexp_replace(coalesce(status, ''), '\\s+', ' ', 'g')) AS status, "
+        "md5(replace(trim(regexp_replace('veja é ' || coalesce(relato, ''), '\\s+', ' ', 'g')), '|', ';')) AS relato_md5, "
+        "'sim & não' AS resposta, trim(coalesce(nota, '')) AS nota, 'fim' AS comentario, count(*) AS n "
+        "FROM daily GROUP BY ALL",
     }
     sql |= {
         "classify_macro": "SELECT md5(relato) AS relato_md5, macro_categoria FROM labelled",

@@ -161,7 +161,7 @@ def slice_replace_idempotent(spark, sf):
     wh, rows = new_warehouse(spark, "slice_replace"), silver(spark, sf)
     wh.replace(S.SILVER_MONTHLY, rows)
     wh.replace(S.SILVER_MONTHLY, rows)
-    wh.replace(S.SILVER_MONTHLY, rows, MONTHLY_REF)
+    wh.replace(S.SILVER_MONTHLY, rows.where(F.col(S.SLICE_KEY) == MONTHLY_REF), MONTHLY_REF)
     return _slice_totals(wh.table(S.SILVER_MONTHLY))
 
 
@@ -174,6 +174,16 @@ def slice_replace_empty(spark, sf):
     return _slice_totals(wh.table(S.SILVER_MONTHLY))
 
 
+@_query
+def backfill_emptied_slice(spark, sf):
+    """A load that comes again with no row of the financial sector loses its silver and gold slices."""
+    wh, feed = new_warehouse(spark, "backfill_emptied"), complaints_monthly(spark, sf)
+    chains.backfill_monthly(wh, feed)
+    again = feed.where(F.col(S.SLICE_KEY) == MONTHLY_REF).withColumn("area", F.lit("Telefonia"))
+    chains.backfill_monthly(wh, again)
+    return _slice_totals(wh.table(S.SILVER_MONTHLY))
+
+
 @_query
 def slice_append(spark, sf):
     """The append mode doubles a slice when it runs again."""
@@ -305,8 +315,7 @@ def text_sanitize(spark, sf):
 
 @_query
 def deinterleave(spark, sf):
-    items = F.regexp_extract_all(F.col("html"), F.lit("<p>([^<]*)"), F.lit(1))
-    listed = table(spark, sf, "pages").select("page_id", items.alias("items"))
+    listed = table(spark, sf, "pages").select("page_id", pages.element_texts(F.col("html"), "p").alias("items"))
     lists = {"nota": text.every_other(F.col("items"), 0), "comentario": text.every_other(F.col("items"), 1)}
     return pages.zip_shortest(listed, lists).drop("items")
 
@@ -339,12 +348,40 @@ def html_link_discovery(spark, sf):
 
 @_query
 def html_record_extract(spark, sf):
-    patterns = {
-        "link": '<a href="([^"]*)"',
-        "titulo": "<a [^>]*>([^<]*)</a>",
-        "paragrafo": "<p>([^<]*)",
+    html = F.col("html")
+    anchors = F.filter(pages.elements(html, "a"), lambda a: pages.attribute(a, "href").isNotNull())
+    lists = {
+        "link": F.transform(anchors, lambda a: pages.attribute(a, "href")),
+        "titulo": F.transform(anchors, pages.element_text),
+        "paragrafo": pages.element_texts(html, "p"),
     }
-    return pages.extract_records(table(spark, sf, "pages"), "html", patterns)
+    return pages.extract_records(table(spark, sf, "pages"), "html", lists)
+
+
+def _escaped(c):
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(char), F.lit(entity))
+    return c
+
+
+@_query
+def portal_records(spark, sf):
+    """Results pages around the daily complaints: links in narratives, entities, unclosed and void tags."""
+    place = F.concat_ws("", "dataocorrido", F.lit(", "), "cidade", F.lit(" - "), "uf")
+    card = F.concat(
+        F.lit("<div class='card'><div class='x relatos-nome-empresa'><a href=#>"), _escaped(F.col("nomeempresa")),
+        F.lit("</a> <a>mais</a></div><div><h4>"), _escaped(F.col("status")),
+        F.lit("</h4><input disabled></div><div><span>"), place, F.lit("</span><p>veja <a href=x>&eacute;</a><br> "),
+        _escaped(F.col("relato")), F.lit("</div><div><span>("), F.col("temporesposta"), F.lit(")</span><p>sim &amp; n<b>&atilde;o</b></p></div><div><p>"),
+        _escaped(F.col("nota")), F.lit("<p>fim<!-- <p>nada</p> --></p></div></div>"),
+    )
+    columns = ("nomeempresa", "status", "cidade", "uf", "relato", "temporesposta", "nota")
+    daily = complaints_daily(spark, sf).fillna("", list(columns))
+    found = pages.portal_records(daily.select(F.concat(F.lit("<html><ul><li>"), card).alias("page")), "page")
+    return found.select(
+        F.col("nomeEmpresa").alias("nomeempresa"), "status", F.md5("Relato").alias("relato_md5"),
+        F.col("Resposta").alias("resposta"), F.col("Nota").alias("nota"), F.col("Comentario").alias("comentario"),
+    ).groupBy("nomeempresa", "status", "relato_md5", "resposta", "nota", "comentario").agg(F.count("*").alias("n"))
 
 
 # -- classification ---------------------------------------------------------------------------

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -14,20 +13,6 @@ from pyspark.sql import functions as F
 from ouvidoria.schemas import ALL_TABLES, BRONZE, GOLD, SILVER, SLICE_KEY, TableSpec
 from ouvidoria.session import path_exists, require_ref
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """insertInto takes the overwrite mode from the session only, not from writer options."""
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
-
-
 def _as_list(refs: str | Iterable[str] | None) -> list[str] | None:
     if refs is None:
         return None
@@ -93,9 +78,11 @@ class Warehouse:
         return self._phases(phases)
 
     def _ddl(self, spec: TableSpec) -> str:
+        """The table itself says that an overwrite replaces only the slices it writes; no session setting is touched."""
         columns = ", ".join(f"{name} {dtype}" for name, dtype in spec.stored_columns())
         return (
             f"CREATE TABLE IF NOT EXISTS {self.name(spec)} ({columns}) USING parquet "
+            "OPTIONS ('partitionOverwriteMode' = 'dynamic') "
             f"PARTITIONED BY ({SLICE_KEY}) LOCATION '{self.location(spec.path_suffix)}'"
         )
 
@@ -135,42 +122,56 @@ class Warehouse:
         df: DataFrame,
         refs: str | Iterable[str] | None = None,
         rebalance: bool | None = None,
-    ) -> None:
-        """Replace whole slices; running it again changes nothing.
+    ) -> list[str]:
+        """Replace whole slices and return their names; running it again changes nothing.
 
-        The new files are staged and moved in when the job commits, so a failed job leaves the
-        old slice in place. Slices named in ``refs`` for which ``df`` has no row are emptied.
-        Without ``refs`` exactly the slices that occur in ``df`` are replaced.
+        The new files are staged and moved in when the job commits, so a failed task leaves the old slice in place.
+        Slices named in ``refs`` for which ``df`` has no row are emptied; a row of any other slice is an error, raised
+        before anything is replaced. Without ``refs`` exactly the slices that occur in ``df`` are replaced.
 
         ``rebalance`` shuffles rows so that each slice gets few, evenly sized files. The default
         does it for several slices at once, where each task might hold rows of all of them; turn
         it off when the source is already cut by slice, and on where a filter left little behind.
         """
-        with _dynamic_overwrite(self.spark):
-            self._replace(spec, df, _as_list(refs), rebalance)
+        return self._replace(spec, df, _as_list(refs), rebalance)
 
     def replace_many(self, frames: dict[TableSpec, DataFrame], refs: str | Iterable[str] | None = None) -> None:
         """Replace slices of several tables side by side: small writes are mostly waiting."""
         wanted = _as_list(refs)
-        with _dynamic_overwrite(self.spark), ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
             run = inheritable_thread_target(self.spark)(self._replace)
             for done in [pool.submit(run, spec, df, wanted, None) for spec, df in frames.items()]:
                 done.result()
 
-    def _replace(self, spec: TableSpec, df: DataFrame, wanted: list[str] | None, rebalance: bool | None) -> None:
+    def _replace(self, spec: TableSpec, df: DataFrame, wanted: list[str] | None, rebalance: bool | None) -> list[str]:
         rows = spec.conform(df, stored=True)
-        several = wanted is None or len(wanted) > 1
-        if wanted is not None:
-            rows = rows.where(F.col(SLICE_KEY).isin(wanted))
-        if several if rebalance is None else rebalance:
-            rows = rows.hint("rebalance", SLICE_KEY) if several else rows.hint("rebalance")
+        if wanted is not None and len(wanted) == 1:
+            self._replace_one(spec, rows, wanted[0], bool(rebalance))
+            return wanted
+        # One narrow aggregate names the slices; it reads the slice column and what filters need, nothing else.
+        present = sorted(r[0] or "" for r in rows.select(SLICE_KEY).distinct().collect())
+        if wanted is not None and (others := set(present) - set(wanted)):
+            raise ValueError(f"{spec.full_name}: rows of slices that were not named: {sorted(others)[:5]}")
+        if present:
+            even = rows if rebalance is False else rows.hint("rebalance", SLICE_KEY)
+            even.write.mode("overwrite").insertInto(self.name(spec))
+        for ref in set(wanted or []) - set(present):
+            self.clear(spec, ref)
+        return present if wanted is None else wanted
+
+    def _replace_one(self, spec: TableSpec, rows: DataFrame, ref: str, rebalance: bool) -> None:
+        """A row of another slice fails the write, before anything is moved in.
+
+        The slice stays a dynamic one: a static PARTITION clause would delete it before the new rows are written.
+        """
+        message = F.concat(F.lit(f"{spec.full_name}: not of slice {ref}: "), F.coalesce(SLICE_KEY, F.lit("null")))
+        key = F.when(F.col(SLICE_KEY).eqNullSafe(ref), F.col(SLICE_KEY)).otherwise(F.raise_error(message))
+        checked = rows.withColumn(SLICE_KEY, key.cast("string"))
         seen = Observation()
-        if wanted:
-            rows = rows.observe(seen, *[F.count_if(F.col(SLICE_KEY) == r).alias(r) for r in wanted])
-        rows.write.mode("overwrite").insertInto(self.name(spec))
-        for ref in wanted or []:
-            if not seen.get[ref]:
-                self.clear(spec, ref)
+        written = (checked.hint("rebalance") if rebalance else checked).observe(seen, F.count(F.lit(1)).alias("n"))
+        written.write.mode("overwrite").insertInto(self.name(spec))
+        if not seen.get["n"]:
+            self.clear(spec, ref)
 
     def clear(self, spec: TableSpec, ref: str) -> None:
         """Empty one slice: a dynamic overwrite never touches a slice without new rows."""

@@ -50,12 +50,21 @@ def test_backfill_equals_single_loads(wh, spark, sf_dir, rows):
     chains.backfill_monthly(wh, feed, rebalance=False)
     whole = {t.name: rows(wh.table(t)) for t in S.GOLD_TABLES[:5]}
     for ref in ("1995-02", "1999-12"):
-        wh.replace(S.BRONZE_MONTHLY, feed, ref)
+        wh.replace(S.BRONZE_MONTHLY, feed.where(F.col(S.SLICE_KEY) == ref), ref)
         chains.build_silver_monthly(wh, ref)
         chains.build_gold_monthly(wh, ref)
     assert {t.name: rows(wh.table(t)) for t in S.GOLD_TABLES[:5]} == whole
 
 
+def test_backfill_empties_slices_whose_rows_all_fail_the_filter(wh, spark, sf_dir):
+    feed = complaints_monthly(spark, sf_dir).where("datrefcarga in ('1995-02', '1995-03')")
+    chains.backfill_monthly(wh, feed)
+    assert wh.slice(S.SILVER_MONTHLY, "1995-02").count() and wh.slice(S.GOLD_UF, "1995-02").count()
+    chains.backfill_monthly(wh, feed.where("datrefcarga = '1995-02'").withColumn("area", F.lit("Telefonia")))
+    for table in (S.SILVER_MONTHLY, *S.GOLD_TABLES[:5]):
+        assert not wh.slice(table, "1995-02").count() and wh.slice(table, "1995-03").count()
+
+
 def test_missing_reference_stops_a_job(wh, tmp_path):
     for job in (chains.run_monthly, chains.run_daily):
         with pytest.raises(ValueError):

@@ -4,8 +4,9 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as driver
+from ouvidoria.plans import oracle, registry
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = registry.registered(), oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

@@ -50,7 +50,8 @@ def test_empty_load_clears_its_slice_only(wh, spark, rows):
 
 def test_named_slices_bound_what_is_written(wh, spark, rows):
     wh.replace(SPEC, counts(spark, (1, "A", "2024-01"), (2, "B", "2024-02"), (3, "C", "2024-03")))
-    wh.replace(SPEC, counts(spark, (9, "Z", "2024-01"), (9, "Z", "2024-03")), ["2024-01", "2024-02"])
+    new = counts(spark, (9, "Z", "2024-01"), (9, "Z", "2024-03"))
+    wh.replace(SPEC, new.where("datrefcarga <> '2024-03'"), ["2024-01", "2024-02"])
     assert rows(wh.table(SPEC)) == [("C", "2024-03", 3), ("Z", "2024-01", 9)]
 
 
@@ -110,3 +111,23 @@ def test_environment_location(spark):
     assert wh.location("data/x") == "/base/dev/lake/data/x"
     with pytest.raises(ValueError):
         Warehouse.for_env(spark, "", "/base/{env}")
+
+
+def test_rows_outside_the_named_slices_are_an_error(wh, spark, rows):
+    wh.replace(SPEC, counts(spark, (1, "A", "2024-01"), (2, "B", "2024-02")))
+    mixed = counts(spark, (8, "X", "2024-01"), (9, "Y", "2024-03"))
+    for refs in ("2024-01", ["2024-01", "2024-02"]):
+        with pytest.raises(Exception, match="2024-03"):
+            wh.replace(SPEC, mixed, refs)
+    assert rows(wh.table(SPEC)) == [("A", "2024-01", 1), ("B", "2024-02", 2)]
+
+
+def test_writers_side_by_side_keep_each_others_slices(wh, spark, rows):
+    from concurrent.futures import ThreadPoolExecutor
+
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    wh.replace(SPEC, counts(spark, *[(0, "A", f"2024-0{m}") for m in range(1, 7)]))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda m: wh.replace(SPEC, counts(spark, (m, "A", f"2024-0{m}")), f"2024-0{m}"), range(1, 5)))
+    assert rows(wh.table(SPEC)) == [("A", f"2024-0{m}", m if m < 5 else 0) for m in range(1, 7)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
