@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ouvidoria.llm.common import fold, staged, text_or_empty
@@ -141,6 +141,22 @@ class Joints:
             yield [(ends[c // len(starts)], starts[c % len(starts)]) for c in code.tolist()], n, of
 
 
+def outer_letters(word: Column, tails: tuple[int, ...] = TAILS) -> Column:
+    """What ``Joints`` reads of a word: its first and last letters; short words stay whole."""
+    heads, ends = len(tails), max(tails)
+    shortened = F.concat(F.left(word, F.lit(heads)), F.right(word, F.lit(ends)))
+    return F.when(F.length(word) > heads + ends, shortened).otherwise(word)
+
+
+def packed(ids: np.ndarray) -> bytes:
+    """Numbers by planes of their bytes, which squeeze better: the high ones are mostly zero."""
+    return ids.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def before_each(documents: list[np.ndarray]) -> np.ndarray:
     """The token before each, over documents laid end to end; -1 at their starts."""
     return np.concatenate([np.r_[np.int64(-1), d[:-1].astype(np.int64)] for d in documents])
@@ -247,7 +263,7 @@ def token_blocks(docs: DataFrame, held_out, block_tokens: int = BLOCK_TOKENS) ->
                 own = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
                 if not held:
                     train.append(own)
-                rows.append((block, doc_id, held, len(own), squeeze.compress(own.tobytes())))
+                rows.append((block, doc_id, held, len(own), squeeze.compress(packed(own))))
                 size += len(own)
                 if size >= block_tokens:
                     yield shaped(pd.DataFrame(rows, columns=["block", "doc_id", "held_out", "n_tokens", "tokens"]))
@@ -276,12 +292,12 @@ def word_scores(words: DataFrame, tree: SuffixTree) -> DataFrame:
 
 
 def block_scores(docs: pd.DataFrame, table: pd.DataFrame, tree: SuffixTree, known: dict, rest: float) -> pd.DataFrame:
-    """Counts and scores of a block's documents from its vocabulary (local, word, c, lp)."""
+    """Counts and scores of a block's documents from its vocabulary (local, outer letters of the word, c, lp)."""
     table = table.sort_values("local")
     c, lp = table["c"].to_numpy(np.int64), table["lp"].to_numpy(float)
     base = np.log10(c + 1.0) - rest
     open_ = zstandard.ZstdDecompressor()
-    own = [np.frombuffer(open_.decompress(t), np.int32) for t in docs["tokens"]]
+    own = [unpacked(open_.decompress(t)) for t in docs["tokens"]]
     ids = np.concatenate(own)
     score = lp[ids]
     if len(known) > REMEMBERED:
@@ -316,7 +332,7 @@ def lm_scores(docs: DataFrame, divisor: int = 7, held: int = 2) -> DataFrame:
     tree = SuffixTree.grow(list(zip(rows["context"], rows["symbol"], rows["n"].tolist(), strict=True)))
     scored = word_scores(words, tree)
     values = vocabulary.drop("n").join(scored, "word").select(
-        F.col("block").alias("of_block"), "local", "word", F.col("n").alias("c"), "lp"
+        F.col("block").alias("of_block"), "local", outer_letters(F.col("word")).alias("word"), F.col("n").alias("c"), "lp"
     )
     texts = blocks.filter(F.col("tokens").isNotNull()).select("block", "doc_id", "held_out", "n_tokens", "tokens")
     tokens, kinds = int(sums["n"]), int(sums["v"])
