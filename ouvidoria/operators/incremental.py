@@ -72,13 +72,13 @@ class MarkStore:
 
 
 def run_increment(
-    records: DataFrame, store: MarkStore, sink: Callable[[DataFrame], None], record_level: bool = False
+    records: DataFrame, store: MarkStore, sink: Callable[[DataFrame], None], record_level: bool = True
 ) -> bool:
     """One run over records with ``page_ts`` (and ``ts``): emit what is new, then advance the mark.
 
-    The first run only stores the mark. Returns whether anything was handed to ``sink``. By pages
-    the mark is the newest page's counter, and the page at the old mark comes again; by records it
-    is the newest record's time, and nothing comes twice.
+    The first run only stores the mark. Returns whether anything was handed to ``sink``. By records
+    the mark is the newest record's time, and nothing comes twice; by pages it is the newest page's
+    counter, and the page at the old mark comes again.
     """
     mark = store.read()
     current = records.agg(F.max("ts" if record_level else "page_ts")).first()[0]

@@ -268,6 +268,9 @@ def _bodies() -> dict[str, str]:
         "bronze_monthly": "SELECT * FROM monthly",
         "bronze_daily": "SELECT * FROM daily",
         "csv_scan_monthly": "SELECT * FROM monthly",
+        "csv_load_monthly": "SELECT "
+        + ", ".join(f"nullif({c}, '') AS {c}" for c in [n.lower() for n in MONTHLY_FIELDS])
+        + f", datrefcarga FROM monthly WHERE datrefcarga = '{registry.MONTHLY_REF}'",
         "csv_scan_daily": "SELECT * FROM daily",
         "csv_export_roundtrip": "SELECT "
         + ", ".join(
@@ -358,8 +361,9 @@ def _bodies() -> dict[str, str]:
         "facet_ano_mes": _facet("Ano_Mes", registry._MONTHLY_DATASETS, _BY_BANK),
         "facet_data_ocorrido": _facet("Data_Ocorrido", registry._DAILY_DATASETS),
         "frontier_pages": "SELECT page_id, page_ts, count(*) AS n FROM frontier GROUP BY ALL",
-        "hwm_next": f"SELECT TIMESTAMP '{registry.MARK}' AS mark, max(page_ts) AS next_mark, "
-        f"max(page_ts) > TIMESTAMP '{registry.MARK}' AS moved FROM paged",
+        "hwm_next": "SELECT m.mark, n.next_mark, n.next_mark > m.mark AS moved, count(*) AS emitted, max(p.ts) AS newest "
+        f"FROM (SELECT max(page_ts) AS mark FROM paged WHERE page_ts <= TIMESTAMP '{registry.MARK}') m, "
+        "(SELECT max(page_ts) AS next_mark FROM paged) n, paged p WHERE p.page_ts >= m.mark GROUP BY ALL",
         "incremental_gate": "SELECT event_id, page_id, ts FROM frontier WHERE "
         f"(SELECT max(page_ts) FROM paged) > TIMESTAMP '{registry.MARK}'",
         "incremental_first_run": "SELECT count(*) FILTER (WHERE false) AS emitted, max(page_ts) AS next_mark FROM paged",

@@ -15,7 +15,7 @@ from ouvidoria.functions import dates, text
 from ouvidoria.operators import classify, conform, gold, incremental, scoring
 from ouvidoria.plans import chains, dashboard
 from ouvidoria.plans.fixtures import complaints_daily, complaints_monthly, table
-from ouvidoria.session import scratch_path
+from ouvidoria.session import cut_lineage, scratch_path
 from ouvidoria.sources import feeds, pages
 from ouvidoria.sources.tables import Warehouse
 from ouvidoria.streaming import daily_feed
@@ -66,14 +66,14 @@ _GOLDS: dict[str, tuple[Query, Callable[[DataFrame], DataFrame]]] = {
 _SPECS = {spec.name: spec for spec in S.GOLD_TABLES}
 
 
-def gold_frame(spark: SparkSession, sf: str, name: str, source: DataFrame | None = None) -> DataFrame:
+def gold_frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
     feed, aggregate = _GOLDS[name]
-    return _SPECS[name].conform(aggregate(feed(spark, sf) if source is None else source))
+    return _SPECS[name].conform(aggregate(feed(spark, sf)))
 
 
-def dataset_frame(spark: SparkSession, sf: str, name: str, source: DataFrame | None = None) -> DataFrame:
+def dataset_frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
     gold_name, build = dashboard.DATASETS[name]
-    return build(gold_frame(spark, sf, gold_name, source))
+    return build(gold_frame(spark, sf, gold_name))
 
 
 def widget_frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -113,10 +113,23 @@ def bronze_daily(spark, sf):
 def csv_scan_monthly(spark, sf):
     path = scratch_path(spark, "basecompleta")
     feeds.write_feed(complaints_monthly(spark, sf), path, S.MONTHLY_FIELDS, feeds.MONTHLY_SEP, slices=True)
-    scanned = feeds.read_sliced_feed(spark, path, S.MONTHLY_FIELDS, feeds.MONTHLY_SEP)
+    scanned = feeds.read_sliced_feed(spark, path, S.MONTHLY_FIELDS, feeds.MONTHLY_SEP, multi_line=False)
     return S.BRONZE_MONTHLY.conform(scanned)
 
 
+@_query
+def csv_load_monthly(spark, sf):
+    """One load that came as two exports with one prefix, from files to its bronze slice."""
+    root, wh = scratch_path(spark, "landing"), new_warehouse(spark, "csv_load")
+    load = complaints_monthly(spark, sf).where(F.col(S.SLICE_KEY) == MONTHLY_REF)
+    first = F.coalesce(F.col("uf"), F.lit("")) < "N"
+    for part, rows in enumerate((load.where(first), load.where(~first)), 1):
+        path = f"{root}/basecompleta{MONTHLY_REF}_{part}.csv"
+        feeds.write_feed(rows, path, S.MONTHLY_FIELDS, feeds.MONTHLY_SEP, null_text=None)
+    chains.load_bronze_monthly(wh, root, MONTHLY_REF)
+    return wh.table(S.BRONZE_MONTHLY)
+
+
 @_query
 def csv_scan_daily(spark, sf):
     path = scratch_path(spark, "reclamacoes")
@@ -445,16 +458,25 @@ def batch_score(spark, sf):
 # -- cross-filters ----------------------------------------------------------------------------
 
 
-def _facets(source: DataFrame, name: str, datasets: list[str], selections: dashboard.Selections) -> DataFrame:
+def _facets(golds: dict[str, DataFrame], name: str, datasets: list[str], selections: dashboard.Selections) -> DataFrame:
     """The facet over every dataset of one feed."""
-    spark = source.sparkSession
-    parts = [
-        dashboard.facet(dataset_frame(spark, "", d, source), name, selections).withColumn("dataset", F.lit(d))
-        for d in datasets
-    ]
+    parts = []
+    for dataset in datasets:
+        gold_name, build = dashboard.DATASETS[dataset]
+        rows = build(_SPECS[gold_name].conform(golds[gold_name]))
+        parts.append(dashboard.facet(rows, name, selections).withColumn("dataset", F.lit(dataset)))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _monthly_golds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All monthly golds from one scan of the feed; what is checkpointed are group counts."""
+    return gold.monthly_golds(cut_lineage(gold.monthly_rollup(silver(spark, sf))))
+
+
+def _daily_golds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return gold.daily_golds(cut_lineage(gold.daily_rollup(classified(spark, sf))))
+
+
 _MONTHLY_DATASETS = ["ds_reclamacao", "ds_mediaresposta", "ds_mediaavaliacao", "ds_reclamacaouf"]
 _DAILY_DATASETS = ["ds_macro_categoria", "ds_nota", "ds_status"]
 
@@ -467,17 +489,17 @@ def cross_filter(spark, sf):
 
 @_query
 def facet_banco(spark, sf):
-    return _facets(silver(spark, sf), "Banco", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
+    return _facets(_monthly_golds(spark, sf), "Banco", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
 
 
 @_query
 def facet_ano_mes(spark, sf):
-    return _facets(silver(spark, sf), "Ano_Mes", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
+    return _facets(_monthly_golds(spark, sf), "Ano_Mes", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
 
 
 @_query
 def facet_data_ocorrido(spark, sf):
-    return _facets(classified(spark, sf), "Data_Ocorrido", _DAILY_DATASETS, {"Banco": BANKS})
+    return _facets(_daily_golds(spark, sf), "Data_Ocorrido", _DAILY_DATASETS, {"Banco": BANKS})
 
 
 # -- incremental ------------------------------------------------------------------------------
@@ -501,10 +523,18 @@ def frontier_pages(spark, sf):
 
 @_query
 def hwm_next(spark, sf):
-    return paged_events(spark, sf).agg(F.max("page_ts").alias("next_mark")).select(
-        F.lit(MARK).cast("timestamp_ntz").alias("mark"),
-        "next_mark",
-        (F.col("next_mark") > F.lit(MARK).cast("timestamp_ntz")).alias("moved"),
+    """Two runs with a stored mark: the first sees the pages up to ``MARK`` and emits nothing, the second sees all."""
+    records, path = paged_events(spark, sf), scratch_path(spark, "emitted")
+    store = incremental.MarkStore(spark, scratch_path(spark, "mark"))
+    sink = lambda df: df.select("event_id", "ts").write.mode("append").parquet(path)
+    known = records.where(F.col("page_ts") <= F.lit(MARK).cast("timestamp_ntz"))
+    incremental.run_increment(known, store, sink, record_level=False)
+    mark = store.read()
+    moved = incremental.run_increment(records, store, sink, record_level=False)
+    emitted = spark.read.schema("event_id bigint, ts timestamp_ntz").parquet(path) if moved else records.where("false")
+    as_mark = lambda m: F.lit(m and m.isoformat(sep=" ")).cast("timestamp_ntz")
+    return emitted.agg(F.count("*").alias("emitted"), F.max("ts").alias("newest")).select(
+        as_mark(mark).alias("mark"), as_mark(store.read()).alias("next_mark"), F.lit(moved).alias("moved"), "emitted", "newest"
     )
 
 

@@ -63,10 +63,15 @@ def read_daily(spark: SparkSession, path: str | list[str], null_text: str | None
 
 
 def read_sliced_feed(
-    spark: SparkSession, root: str, fields: list[str], sep: str, null_text: str | None = NULL_TEXT
+    spark: SparkSession,
+    root: str,
+    fields: list[str],
+    sep: str,
+    null_text: str | None = NULL_TEXT,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All slices of a feed written with ``write_feed(slices=True)``; the slice key is a folder."""
-    return read_feed(spark, root, [*fields, SLICE_KEY], sep, True, null_text)
+    return read_feed(spark, root, [*fields, SLICE_KEY], sep, multi_line, null_text)
 
 
 def with_slice(df: DataFrame, ref: str) -> DataFrame:
