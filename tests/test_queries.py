@@ -27,3 +27,10 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, con):
     assert compare(QUERIES[name](spark, sf_dir), con, ORACLE[name]) is None
+
+
+@pytest.mark.parametrize("name", ["facet_banco", "facet_ano_mes", "facet_data_ocorrido"])
+def test_facets_read_the_rollup_and_not_the_feed(spark, sf_dir, name):
+    """The feed is scanned once, for the checkpointed rollup; no dataset of a facet scans it again."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan ExistingRDD" in plan
