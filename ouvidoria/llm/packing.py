@@ -13,11 +13,13 @@ table gives no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,13 +33,16 @@ TOKENIZER = "byte_bpe_50k.json"
 # Lengths above capacity / LARGE are grouped and configured; GROUPS bounds the number of rounded sizes.
 LARGE = 8
 GROUPS = 256
-# Chunks of text whose ids a task remembers, in each of two generations.
-REMEMBERED = 1_500_000
+# Chunks of text whose ids a Python worker remembers from task to task, in each of two generations.
+REMEMBERED = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # A chunk ends before a single space that a visible character follows: the tokenizer never joins across that place.
 _CHUNK_END = re.compile(r" (?=\S)")
+_MARKS = (".", ",")
 _IRREGULAR = re.compile(r" (?=\s|$)")
+# Latin letters, which are letters in every version of Unicode: a word of them is one unit of the tokenizer.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -46,6 +51,57 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Words:
+    """Ids of many words of letters in one call: they are spelt in the byte alphabet and go to the merges at once.
+
+    In that alphabet a space inside a unit is a letter too, so blanks can part the units, and every unit starts with
+    the one token that begins with that letter.
+    """
+
+    def __init__(self, tokenizer):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        state = json.loads(tokenizer.to_str())
+        way = state["pre_tokenizer"] or {}
+        self.usable = (
+            state["normalizer"] is None
+            and way.get("type") == "ByteLevel"
+            and way.get("use_regex", True)
+            and not way.get("add_prefix_space")
+            and state["model"]["type"] == "BPE"
+        )
+        if not self.usable:
+            return
+        self.merges = Tokenizer(tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        one = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        spelt = {b: one.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        # Bytes above 127 never stand alone in a text; two-byte letters show how they are spelt.
+        for letter in map(chr, range(0x80, 0x800)):
+            spelt |= dict(zip(letter.encode(), one.pre_tokenize_str(letter)[0][0], strict=True))
+        self.spelling = spelt | {ord("\n"): " "}
+        vocabulary = tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token[0] == spelt[ord(" ")]]] = True
+
+    def ids(self, words: list[str], at_once: int = 100):
+        """Bytes of the ids of each word with a space before it."""
+        groups = [words[i : i + at_once] for i in range(0, len(words), at_once)]
+        spelt = [(" " + "\n ".join(g)).encode().decode("latin-1").translate(self.spelling) for g in groups]
+        encode = getattr(self.merges, "encode_batch_fast", self.merges.encode_batch)
+        for group, found in zip(groups, encode(spelt, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            edges = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            raw = ids.tobytes()
+            yield from zip(group, (raw[a:b] for a, b in zip(edges, [*edges[1:], len(raw)], strict=True)), strict=True)
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which serves one task after the other."""
+    return Encoder(path)
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit words; equal chunks are encoded once while they are remembered.
 
@@ -57,6 +113,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.words = _Words(self.tokenizer)
         self.fresh: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -77,24 +134,26 @@ class Encoder:
             self.older, self.fresh = self.fresh, {}
         fresh, older = self.fresh, self.older
         missing, stems = [], []
-        for c in wanted:
-            if c in fresh:
-                continue
+        for c in wanted.difference(fresh):
             if c in older:
                 fresh[c] = older[c]
-            elif c[-1] in ".," and c[:-1].isalpha():
+            elif c[-1:] in _MARKS and c[:-1].isalpha():
                 stems.append(c)
             else:
                 missing.append(c)
         bare = {c[:-1] for c in stems}.difference(missing)
         missing += [c for c in bare if c not in fresh and c not in older]
+        if self.words.usable:
+            plain = [c for c in missing if _LETTERS.fullmatch(c)]
+            fresh.update(self.words.ids(plain))
+            missing = [c for c in missing if not _LETTERS.fullmatch(c)]
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         for at in range(0, len(missing), 20_000):
             block = missing[at : at + 20_000]
             texts = [c[1:] if c[0] == " " else " " + c for c in block]
             for c, e in zip(block, encode(texts, add_special_tokens=False), strict=True):
                 fresh[c] = np.array(e.ids, dtype="<u4").tobytes()
-        marks = {m: self._ids(m) for m in ".,"}
+        marks = {m: self._ids(m) for m in _MARKS}
         for c in stems:
             fresh[c] = (fresh.get(c[:-1]) or older[c[:-1]]) + marks[c[-1]]
         return fresh
@@ -110,7 +169,7 @@ def tokenised_pieces(docs: DataFrame, path: str | None = None, capacity: int = C
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(path or tokenizer_path())
+        encode = encoder(path or tokenizer_path()).encode
         tail = np.uint32(end_id).astype("<u4").tobytes()
         for frame in frames:
             texts = frame["text"].tolist()
@@ -122,7 +181,7 @@ def tokenised_pieces(docs: DataFrame, path: str | None = None, capacity: int = C
                 while to < len(texts) and (to == at or chars < 1_000_000):
                     chars += len(texts[to])
                     to += 1
-                for doc_id, ids in zip(frame["doc_id"].iloc[at:to], encoder.encode(texts[at:to]), strict=True):
+                for doc_id, ids in zip(frame["doc_id"].iloc[at:to], encode(texts[at:to]), strict=True):
                     ids += tail
                     n = len(ids) // 4
                     start, length = 0, n % capacity or capacity
