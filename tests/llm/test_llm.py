@@ -309,6 +309,16 @@ def test_encoder_equals_the_tokenizer():
         assert encoder.encode([text]) == [want]
 
 
+def test_encoder_joins_words_as_the_tokenizer_does(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)  # chunks are forgotten between calls
+    encoder = packing.Encoder(packing.tokenizer_path())
+    assert encoder.words.usable
+    words = "über café naïve, straße. ǆ ß × ÷ ñandú Éan onst.\nHeshes 日本 語. á à́ \xa0é ŉ ı İ 🙂 a. ﬁ"
+    for text in [words, "plain words and plain words", words, " ".join(f"w{chr(97 + i % 26)}rd" * (i % 5 + 1) for i in range(500))]:
+        want = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert encoder.encode([text, text]) == [want, want]
+
+
 def test_pipeline_stages(spark, sf_dir, odd, labels, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     docs = odd
