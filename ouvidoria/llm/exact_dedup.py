@@ -12,17 +12,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ouvidoria.llm.common import SPACES, partitions, staged, text_or_empty
 from ouvidoria.session import scratch_path
 
 
+def digest_column() -> Column:
+    """SHA-256 (32 bytes) of the text with white-space runs as one space."""
+    return F.unhex(F.sha2(F.regexp_replace(text_or_empty(), SPACES, " "), 256))
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id and the SHA-256 (32 bytes) of the text with white-space runs as one space."""
-    normalised = F.regexp_replace(text_or_empty(), SPACES, " ")
-    return docs.select("doc_id", F.unhex(F.sha2(normalised, 256)).alias("digest"))
+    """doc_id and the digest of the text."""
+    return docs.select("doc_id", digest_column().alias("digest"))
 
 
 class DigestIndex:
@@ -87,9 +91,22 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     )
 
 
+def rows_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each of ``places`` (digest, stay): of that text and that id.
+
+    Of rows that share both the least by its columns stays.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", digest_column().alias("of"))
+    # Not a join key: texts are shuffled once, by the digest that they are then grouped by.
+    own = F.coalesce(F.col("doc_id") == F.col("stay"), F.col("doc_id").isNull() & F.col("stay").isNull())
+    same = (F.col("of") == F.col("digest")) & own
+    return rows.join(places, same, "left_semi").groupBy("of").agg(F.min("row").alias("row")).select("row.*")
+
+
 def distinct_documents(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows that repeat a doc_id one stays."""
-    stay = deduplicate(docs, index).filter("kept").select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(staged(stay, "stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi").dropDuplicates(
-        ["doc_id"]
-    )
+    """One row of ``docs`` for every distinct text that stays, with all its columns: a row of the text's keep_id.
+
+    Rows are chosen by text and id together, so neither rows without an id nor repeats of an id stand for each other.
+    """
+    stay = deduplicate(docs, index).filter("kept").select("digest", F.col("doc_id").alias("stay")).distinct()
+    return rows_at(docs, staged(stay, "stay"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -339,3 +340,14 @@ def test_query(name, spark, sf_dir):
 def test_digests_are_of_the_normalised_text(spark):
     df = spark.createDataFrame([(1, "a \t b\n")], "doc_id long, text string")
     assert exact_dedup.digests(df).first().digest == bytearray(hashlib.sha256(b"a b ").digest())
+
+
+def test_every_distinct_text_stays_once(spark, odd, empty):
+    rows = [(None, "a b"), (None, "c d"), (None, "a  b"), (None, "e"), (7, "x y"), (7, "z"), (7, "x y"), (8, "z"), (9, "e"), (10, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in exact_dedup.distinct_documents(df).collect()), key=str)
+    assert got == sorted([(None, "a  b"), (None, "c d"), (9, "e"), (7, "x y"), (7, "z"), (10, None)], key=str)
+    assert exact_dedup.distinct_documents(empty).count() == 0
+    norm = lambda t: re.sub(r"\s+", " ", t or "")
+    kept = Counter(norm(r.text) for r in exact_dedup.distinct_documents(odd).collect())
+    assert kept == Counter({norm(r.text) for r in odd.collect()})
