@@ -14,7 +14,7 @@ from check_oracle import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ouvidoria.llm import exact_dedup, language_id, mixing, packing, phrases, quality, queries, simhash, suffix_tree, topk, toxicity
+from ouvidoria.llm import exact_dedup, language_id, mixing, near_copies, packing, phrases, quality, queries, simhash, suffix_tree, topk, toxicity
 from ouvidoria.llm.components import roots
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, digest int, fp string"
@@ -351,3 +351,63 @@ def test_every_distinct_text_stays_once(spark, odd, empty):
     norm = lambda t: re.sub(r"\s+", " ", t or "")
     kept = Counter(norm(r.text) for r in exact_dedup.distinct_documents(odd).collect())
     assert kept == Counter({norm(r.text) for r in odd.collect()})
+
+
+def shingles_by_hand(text):
+    words = [w.lower() for w in words_of(text)]
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def kept_by_hand(rows):
+    """Smallest (no id, id) of every component of rows (doc_id, text) at similarity 0.8."""
+    sets = [shingles_by_hand(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if group[a] != group[b] and alike(sets[a], sets[b]):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    best = {}
+    for (i, _), g in zip(rows, group, strict=True):
+        best[g] = min(best.get(g, (True, 0)), (i is None, i or 0))
+    return sorted(best.values())
+
+
+def test_near_copies_leave_the_corpus(spark, odd, empty):
+    rng = random.Random(11)
+    rows = []
+    for base in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 400))]
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(4):  # a changed word touches five shingles: similarities from about 0.6 to 0.98
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), max(1, int(len(copy) * rng.uniform(0.003, 0.045)))):
+                copy[at] = "changed" + str(rng.random())
+            rows.append((len(rows), " ".join(copy)))
+    pairs = [(len(a & b) / len(a | b)) for a, b in ((shingles_by_hand(rows[i][1]), shingles_by_hand(rows[i + 1][1])) for i in range(0, 300, 5))]
+    assert sum(0.8 <= p < 0.95 for p in pairs) >= 15 and sum(p < 0.8 for p in pairs) >= 5
+    rows += [(None, rows[0][1] + " tail"), (None, "one text without an id"), (None, "and one more text without an id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id is None, r.doc_id or 0) for r in corpus_pipeline.unlike(spark, df, "").collect()]
+    assert sorted(got) == kept_by_hand(rows)
+    some = [(r.doc_id, r.text) for r in odd.collect()]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in near_copies.representatives(odd).collect()) == kept_by_hand(some)
+    assert near_copies.representatives(odd).columns == odd.columns
+    assert near_copies.representatives(empty).count() == 0
+
+
+def test_components_of_near_copies_reach_over_chains(spark):
+    """Copies of copies: neighbours are alike, the ends are not, and no node is alike to all."""
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    rows = []
+    for i in range(30):
+        rows.append((i, " ".join(words)))
+        words = list(words)
+        words[i * 10 : i * 10 + 5] = [f"c{i}x{k}" for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in near_copies.representatives(df).collect()] == [0]
