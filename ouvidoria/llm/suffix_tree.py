@@ -9,8 +9,9 @@ scored in the state of the longest kept suffix of what it sees.
 
 All counts cover all training documents. Documents are read once, in blocks of about ``BLOCK_TOKENS`` tokens with a
 vocabulary of their own; vocabularies, not tokens, are joined with the corpus counts and come back to their block.
-Contexts are counted over distinct words, and over distinct pairs of word ends and word starts in each block. A kept context holds at least ``P_MIN`` of all symbols and a
-kept symbol ``GAMMA`` of that, so the tree that is broadcast has at most DEPTH / (P_MIN * GAMMA) entries at any scale.
+Contexts are counted over distinct words, and over distinct pairs of word ends and word starts in each block. The root
+keeps every symbol that occurs. A longer context is kept if it holds at least ``P_MIN`` of all symbols, and a symbol in
+it ``GAMMA`` of that, so besides the root the tree that is broadcast has at most DEPTH / (P_MIN * GAMMA) entries.
 
 Defined results: null and empty texts are the end alone; rows that repeat a doc_id count and are scored each; without
 training documents all counts are 0 and the tree is the uniform distribution.
@@ -166,8 +167,8 @@ def frequent(counts: DataFrame, p_min: float = P_MIN, gamma: float = GAMMA) -> D
     """Contexts with at least ``p_min`` of all symbols, and what follows them at least ``p_min * gamma`` of the time."""
     total = counts.filter(F.col("context") == "").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     often = counts.groupBy("context").agg(F.sum("n").alias("all")).filter(F.col("all") >= total * p_min)
-    # Both sides of the root stay whole: it is the state that must know every symbol it has seen often enough.
-    kept = counts.filter(F.col("n") >= total * p_min * gamma)
+    # The root knows every symbol it has seen, however rare: there are no more than characters.
+    kept = counts.filter((F.col("context") == "") | (F.col("n") >= total * p_min * gamma))
     return kept.join(often.select("context"), "context", "left_semi")
 
 

@@ -411,3 +411,12 @@ def test_components_of_near_copies_reach_over_chains(spark):
         words[i * 10 : i * 10 + 5] = [f"c{i}x{k}" for k in range(5)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert [r.doc_id for r in near_copies.representatives(df).collect()] == [0]
+
+
+def test_the_root_knows_every_symbol(spark):
+    """A letter seen 2,000 times among 3e10 symbols keeps its probability."""
+    rows = [("", "e", 30_000_000_000), ("", "ა", 2000), ("e", "e", 20_000_000_000), ("e", "ა", 2000), ("ა", "e", 2000)]
+    kept = suffix_tree.frequent(spark.createDataFrame(rows, "context string, symbol string, n long")).collect()
+    assert {(r.context, r.symbol) for r in kept} == {("", "e"), ("", "ა"), ("e", "e")}
+    tree = suffix_tree.SuffixTree.grow([tuple(r[c] for c in ("context", "symbol", "n")) for r in kept])
+    assert tree.log10("", "ა") == pytest.approx(log10(2000 / 3e10), abs=0.01)
