@@ -24,9 +24,11 @@ from ouvidoria.llm.common import fold
 UNKNOWN = "und"
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
-# Training documents of a language at most, chosen by a hash of their ids, and the number of bits of a codeword.
+# Training documents of a language at most, chosen by a hash of their ids, and the number of bits of a codeword at least.
 TRAIN_PER_LANGUAGE = 2000
 BITS = 15
+# Codewords differ in this many bits at least.
+APART = 4
 # A runner-up this close to the winner's probability makes a prediction ambiguous.
 MARGIN = 0.2
 
@@ -51,6 +53,23 @@ def codewords(languages: int, bits: int = BITS, seed: int = 7) -> np.ndarray:
     return best
 
 
+def distance(codes: np.ndarray) -> int:
+    """In how many bits the closest two rows differ."""
+    apart = (codes.shape[1] - codes @ codes.T) / 2
+    np.fill_diagonal(apart, codes.shape[1])
+    return int(apart.min(initial=codes.shape[1]))
+
+
+def enough_codewords(languages: int, bits: int = BITS) -> np.ndarray:
+    """Codewords of ``bits`` bits, or of as many more as that number of languages needs to stay ``APART``."""
+    bits = max(bits, 4 * max(0, languages - 1).bit_length())
+    codes = codewords(languages, bits)
+    while languages > 1 and distance(codes) < APART:
+        bits += 4
+        codes = codewords(languages, bits)
+    return codes
+
+
 def grams(text: str, buckets: int = BUCKETS) -> np.ndarray:
     """How often each hash bucket occurs among the byte n-grams of the folded text."""
     folded = f" {_OTHER.sub(' ', text.lower()).strip()} ".encode()
@@ -93,7 +112,7 @@ class OutputCodes:
     @classmethod
     def fit(cls, languages: list[str], counts: np.ndarray, bits: int = BITS) -> OutputCodes:
         """Log-odds of each bit from counts (languages x buckets); languages count alike, however many texts they have."""
-        codes = codewords(len(languages), bits)
+        codes = enough_codewords(len(languages), bits)
         share = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * counts.shape[1])
         ones, zeros = (codes.T > 0).astype(float), (codes.T < 0).astype(float)
         p = (ones @ share) / np.maximum(ones.sum(axis=1, keepdims=True), 1)
@@ -125,11 +144,25 @@ class OutputCodes:
         return langs, score, unsure
 
 
+def sampled(ids: DataFrame, per_language: int) -> DataFrame:
+    """The first ``per_language`` rows of (doc_id, lang) of each language by a hash of the id.
+
+    Rows are counted per range of hashes first, so only those up to the range that fills the sample are ordered.
+    """
+    hashed = ids.filter(F.col("doc_id").isNotNull()).withColumn("place", F.shiftright(F.xxhash64("doc_id"), 52))
+    counts = hashed.groupBy("lang", "place").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    begun = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    needed = begun.filter(F.col("before") < per_language).select("lang", "place")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    first = hashed.join(needed, ["lang", "place"], "left_semi").withColumn("r", F.row_number().over(order))
+    return first.filter(F.col("r") <= per_language).select("doc_id", "lang")
+
+
 def train(docs: DataFrame, usable: Column, per_language: int = TRAIN_PER_LANGUAGE, bits: int = BITS) -> OutputCodes:
     """Learn from up to ``per_language`` whole texts of each language among ``usable`` rows."""
     fine = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable).select("doc_id", "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = fine.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
+    picked = sampled(fine.select("doc_id", "lang"), per_language)
     ids = picked.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     sample = fine.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
     rows = gram_counts(sample).toPandas()

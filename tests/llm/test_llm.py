@@ -420,3 +420,17 @@ def test_the_root_knows_every_symbol(spark):
     assert {(r.context, r.symbol) for r in kept} == {("", "e"), ("", "ა"), ("e", "e")}
     tree = suffix_tree.SuffixTree.grow([tuple(r[c] for c in ("context", "symbol", "n")) for r in kept])
     assert tree.log10("", "ა") == pytest.approx(log10(2000 / 3e10), abs=0.01)
+
+
+def test_language_sample_orders_few_ids(spark):
+    ids = spark.range(20_000).selectExpr("id as doc_id", "if(id % 50 = 0, 'bb', 'aa') as lang")
+    found = language_id.sampled(ids, 300)
+    want = ids.selectExpr("*", "row_number() over (partition by lang order by xxhash64(doc_id), doc_id) r").filter("r <= 300").drop("r")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert "LeftSemi" in found._jdf.queryExecution().toString()  # ids are cut by their ranges before they are ordered
+
+
+def test_codewords_stay_apart_with_many_languages():
+    for languages in (2, 6, 12, 40, 1000):
+        assert language_id.distance(language_id.enough_codewords(languages)) >= 4
+    assert language_id.enough_codewords(6).shape == (6, language_id.BITS)
