@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ouvidoria.llm import (
+    centroids,
     exact_dedup,
     language_id,
     mixing,
@@ -16,6 +17,7 @@ from ouvidoria.llm import (
     phrases,
     quality,
     simhash,
+    sql,
     suffix_tree,
     topk,
     toxicity,
@@ -69,6 +71,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_sequences(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     queries = [
         op1_exact_topk,
@@ -81,6 +87,7 @@ def registered() -> dict[str, Query]:
         op8_toxicity,
         op9_simhash,
         op10_best_fit_packing,
+        op11_centroid_clusters,
     ]
     return {q.__name__: q for q in queries} | {"pipeline": corpus_pipeline.run}
 
@@ -170,4 +177,10 @@ FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
 
 
 def statements() -> dict[str, str]:
-    return {"op1_exact_topk": _TOP_K, "op2_exact_dedup": _EXACT_DEDUP, "op5_source_mix": _MIX, "op6_repeated_phrases": _REPEATS}
+    return {
+        "op1_exact_topk": _TOP_K,
+        "op2_exact_dedup": _EXACT_DEDUP,
+        "op5_source_mix": _MIX,
+        "op6_repeated_phrases": _REPEATS,
+        "op11_centroid_clusters": sql.centroids(),
+    }
