@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ouvidoria.llm import (
     centroids,
+    decontaminate,
     exact_dedup,
     language_id,
     mixing,
     packing,
     phrases,
     quality,
+    repair,
     simhash,
     sql,
     suffix_tree,
@@ -75,6 +77,14 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.reports(repair.damaged(table(spark, sf_dir, "conversations")), F.col("copies"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict[str, Query]:
     queries = [
         op1_exact_topk,
@@ -88,6 +98,8 @@ def registered() -> dict[str, Query]:
         op9_simhash,
         op10_best_fit_packing,
         op11_centroid_clusters,
+        op12_conversation_repair,
+        op13_decontamination,
     ]
     return {q.__name__: q for q in queries} | {"pipeline": corpus_pipeline.run}
 
@@ -183,4 +195,6 @@ def statements() -> dict[str, str]:
         "op5_source_mix": _MIX,
         "op6_repeated_phrases": _REPEATS,
         "op11_centroid_clusters": sql.centroids(),
+        "op12_conversation_repair": sql.repairs(),
+        "op13_decontamination": sql.leaks(),
     }
