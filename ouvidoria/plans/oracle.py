@@ -301,6 +301,9 @@ def _bodies() -> dict[str, str]:
             + [(t.database, t.name, f"g_{t.name}") for t in GOLD_TABLES[5:]]
         ),
         "daily_stream_ingest": "SELECT * FROM daily",
+        "daily_stream_redelivery": f"SELECT * FROM daily WHERE datrefcarga <> '{registry.DAILY_REF}' UNION ALL "
+        f"SELECT * REPLACE ('Reaberto' AS status) FROM daily WHERE datrefcarga = '{registry.DAILY_REF}' "
+        "AND nomeempresa = 'Nubank'",
     }
     sql |= {
         "silver_conform": _conformed("monthly"),

@@ -52,3 +52,64 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+class Files:
+    """Small files and folders of any store that Spark reaches, by its own file systems.
+
+    Used for listings and for the few bytes of a manifest; data are read and written by Spark jobs.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._sc = spark.sparkContext
+
+    def _open(self, path: str):
+        p = self._sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self._sc._jsc.hadoopConfiguration()), p
+
+    def exists(self, path: str) -> bool:
+        fs, p = self._open(path)
+        return fs.exists(p)
+
+    def names(self, folder: str) -> list[str]:
+        """Names in a folder, in order; none if there is no such folder."""
+        fs, p = self._open(folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def make(self, folder: str) -> None:
+        fs, p = self._open(folder)
+        fs.mkdirs(p)
+
+    def move(self, source: str, target: str) -> None:
+        """Rename; a file that is there is replaced."""
+        fs, p = self._open(source)
+        _, to = self._open(target)
+        if fs.exists(to):
+            fs.delete(to, True)
+        elif not fs.exists(to.getParent()):
+            fs.mkdirs(to.getParent())
+        if not fs.rename(p, to):
+            raise OSError(f"could not move {source} to {target}")
+
+    def delete(self, path: str) -> None:
+        fs, p = self._open(path)
+        fs.delete(p, True)
+
+    def read(self, path: str) -> str:
+        fs, p = self._open(path)
+        stream = fs.open(p)
+        try:
+            return self._sc._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        """A file that is there whole or not at all: it gets its name when it is written."""
+        draft = f"{path}.{uuid.uuid4().hex}.draft"
+        fs, p = self._open(draft)
+        stream = fs.create(p, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        self.move(draft, path)

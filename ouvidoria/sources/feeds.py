@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ouvidoria.schemas import DAILY_FIELDS, MONTHLY_FIELDS, SLICE_KEY, string_struct
-from ouvidoria.session import require_ref
+from ouvidoria.session import Files, require_ref, scratch_path
 
 # Separators and file names of the two feeds.
 MONTHLY_SEP, DAILY_SEP = ";", "|"
@@ -112,3 +112,24 @@ def write_feed(
     if slices:
         writer = writer.partitionBy(SLICE_KEY)
     writer.csv(path)
+
+
+def deliver_days(df: DataFrame, root: str, null_text: str | None = NULL_TEXT) -> None:
+    """Daily files as the producer names them: a day that is delivered again keeps its name, ``reclamacoes_{ref}.csv``.
+
+    Rows are written by one job to a folder aside; its part files then get their places, numbered within the day. The
+    driver only renames: a few names per day.
+    """
+    spark = df.sparkSession
+    aside = scratch_path(spark, "delivery")
+    write_feed(df, aside, DAILY_FIELDS, DAILY_SEP, slices=True, null_text=null_text)
+    files = Files(spark)
+    for folder in [n for n in files.names(aside) if n.startswith(f"{SLICE_KEY}=")]:
+        day = daily_path(root, folder.partition("=")[2])
+        parts = [n for n in files.names(f"{aside}/{folder}") if n.endswith(".csv")]
+        for i, name in enumerate(parts):
+            files.move(f"{aside}/{folder}/{name}", f"{day}/part-{i:05d}.csv")
+        for name in files.names(day):
+            if name.endswith(".csv") and name not in {f"part-{i:05d}.csv" for i in range(len(parts))}:
+                files.delete(f"{day}/{name}")
+    files.delete(aside)

@@ -98,6 +98,69 @@ def test_stream_takes_each_file_once_and_reloads_changed_slices(wh, spark, tmp_p
     assert ("20240102", "d") in ingest()
 
 
+def test_stream_takes_a_day_that_is_written_again(wh, spark, tmp_path, rows):
+    root, checkpoint = tmp_path / "feed", str(tmp_path / "cp")
+    root.mkdir()
+    loads = []
+
+    def ingest():
+        query = daily_feed.ingest_available(wh, str(root), checkpoint)
+        query.awaitTermination()
+        loads.append(sum(p.numInputRows for p in query.recentProgress))
+        return rows(wh.table(S.BRONZE_DAILY).select("datrefcarga", "relato"))
+
+    write_day(root, "20240101", "a", "b")
+    write_day(root, "20240102", "c")
+    ingest()
+    write_day(root, "20240101", "corrigido")  # the same path
+    assert ingest() == [("20240101", "corrigido"), ("20240102", "c")]
+    kept = [f.stat().st_mtime_ns for f in sorted((tmp_path / "wh").rglob("*.parquet"))]
+    assert ingest() == [("20240101", "corrigido"), ("20240102", "c")]
+    assert loads == [2, 1, 0] and kept == [f.stat().st_mtime_ns for f in sorted((tmp_path / "wh").rglob("*.parquet"))]
+    (root / "reclamacoes_20240102.csv" / "part-0.csv").unlink()  # landing zones get cleaned up
+    assert ingest() == [("20240101", "corrigido"), ("20240102", "c")]
+    ledger = daily_feed.FileLedger(spark, f"{checkpoint}/ledger")
+    assert ledger.versions().count() == 3 and ledger.versions().select("path").distinct().count() == 2
+
+
+def test_stream_finishes_what_a_crash_left(wh, spark, tmp_path, rows, monkeypatch):
+    """The ledger is ahead of the table after the crash; the stream's checkpoint is not."""
+    root, checkpoint = tmp_path / "feed", str(tmp_path / "cp")
+    root.mkdir()
+    write_day(root, "20240101", "a")
+    daily_feed.ingest_available(wh, str(root), checkpoint).awaitTermination()
+    write_day(root, "20240101", "nova", "versão")
+    load = daily_feed.load_changed_slices
+
+    def crash(*_):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(daily_feed, "load_changed_slices", crash)
+    with pytest.raises(Exception, match="driver lost"):
+        daily_feed.ingest_available(wh, str(root), checkpoint).awaitTermination()
+    assert rows(wh.table(S.BRONZE_DAILY).select("relato")) == [("a",)]
+    monkeypatch.setattr(daily_feed, "load_changed_slices", load)
+    daily_feed.ingest_available(wh, str(root), checkpoint).awaitTermination()
+    assert rows(wh.table(S.BRONZE_DAILY).select("relato")) == [("nova",), ("versão",)]
+
+
+def test_ledger_lists_without_reading(spark, tmp_path, plan):
+    write_day(tmp_path, "20240101", "a")
+    ledger = daily_feed.FileLedger(spark, str(tmp_path / "ledger"))
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan(ledger.listed(str(tmp_path)))
+    assert ledger.take_up(str(tmp_path)) == 1 and ledger.take_up(str(tmp_path)) == 0
+
+
+def test_delivered_days_keep_their_names(spark, sf_dir, tmp_path, rows):
+    day = complaints_daily(spark, sf_dir).where("datrefcarga in ('20240110', '20240111')")
+    for _ in range(2):
+        feeds.deliver_days(day, str(tmp_path))
+    names = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.csv") if p.is_file())
+    assert names == ["reclamacoes_20240110.csv/part-00000.csv", "reclamacoes_20240111.csv/part-00000.csv"]
+    read = feeds.read_daily(spark, feeds.daily_path(str(tmp_path), "20240110"), feeds.NULL_TEXT)
+    assert rows(read) == rows(day.where("datrefcarga = '20240110'").drop("datrefcarga"))
+
+
 def test_stream_reads_a_single_file_per_slice(wh, spark, tmp_path):
     root = tmp_path / "feed"
     root.mkdir()
