@@ -12,6 +12,7 @@ from ouvidoria import schemas as S
 from ouvidoria.operators import classify, conform, gold, scoring
 from ouvidoria.session import require_ref
 from ouvidoria.sources import feeds
+from ouvidoria.sources.commit import Commits
 from ouvidoria.sources.tables import Warehouse
 
 _MONTHLY_GOLDS = {t.name: t for t in (S.GOLD_PROBLEMA, S.GOLD_AVALIACAO, S.GOLD_RESPOSTA, S.GOLD_TOP_TEN, S.GOLD_UF)}
@@ -101,6 +102,32 @@ def build_gold_daily(wh: Warehouse, refs: Refs = None) -> None:
     _build_golds(wh, gold.daily_rollup(silver), gold.daily_golds, _DAILY_GOLDS, refs)
 
 
+def publish_monthly(wh: Warehouse, refs: Refs = None) -> dict[str, list[str]]:
+    """Silver and its five golds of these loads as one commit: readers of the finished catalog see all of it or none."""
+    silver = conform.silver_monthly(_scope(wh.table(S.BRONZE_MONTHLY), refs))
+    return _publish(wh, S.SILVER_MONTHLY, silver, gold.monthly_rollup, gold.monthly_golds, _MONTHLY_GOLDS, refs)
+
+
+def publish_daily(wh: Warehouse, refs: Refs = None, institution: str = "Santander") -> dict[str, list[str]]:
+    """The classified narratives and their three golds of these loads as one commit."""
+    rows = conform.of_institution(_scope(wh.table(S.BRONZE_DAILY), refs), institution)
+    return _publish(wh, S.SILVER_DAILY, classify.classified_daily(rows), gold.daily_rollup, gold.daily_golds, _DAILY_GOLDS, refs)
+
+
+def _publish(wh: Warehouse, spec: S.TableSpec, silver: DataFrame, rollup, golds, tables, refs: Refs):
+    """Golds are made from the staged silver rows, which are evaluated once."""
+    commits = Commits(wh)
+    with commits.open() as commit:
+        staged = commit.stage({spec: silver}, refs)
+        kept = rollup(staged[spec]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            kept.count()
+            commit.stage({tables[name]: df for name, df in golds(kept).items()}, refs)
+        finally:
+            kept.unpersist()
+    return commit.slices
+
+
 def build_one_gold(wh: Warehouse, table: str, ref: str) -> None:
     """A single gold of one load straight from silver."""
     if table == S.GOLD_TOP_TEN.name:

@@ -284,6 +284,10 @@ def _bodies() -> dict[str, str]:
         "slice_replace_idempotent": _SLICE_TOTALS.format(times=1, where=""),
         "slice_replace_empty": _SLICE_TOTALS.format(times=1, where=f"WHERE datrefcarga <> '{registry.MONTHLY_REF}'"),
         "backfill_emptied_slice": _SLICE_TOTALS.format(times=1, where=f"WHERE datrefcarga <> '{registry.MONTHLY_REF}'"),
+        "slice_replace_recovered": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, datrefcarga, count(*) AS n FROM {source} GROUP BY datrefcarga"
+            for name, source in [("consumidorservicosfinanceiros", "silver"), *((t.name, f"g_{t.name}") for t in GOLD_TABLES[:5])]
+        ),
         "slice_append": _SLICE_TOTALS.format(times=2, where=""),
         "catalog_create": _counts(
             [

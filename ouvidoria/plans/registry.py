@@ -17,6 +17,7 @@ from ouvidoria.plans import chains, dashboard
 from ouvidoria.plans.fixtures import complaints_daily, complaints_monthly, table
 from ouvidoria.session import cut_lineage, scratch_path
 from ouvidoria.sources import feeds, pages
+from ouvidoria.sources.commit import Commit, Commits
 from ouvidoria.sources.tables import Warehouse
 from ouvidoria.streaming import daily_feed
 
@@ -197,6 +198,37 @@ def backfill_emptied_slice(spark, sf):
     return _slice_totals(wh.table(S.SILVER_MONTHLY))
 
 
+@_query
+def slice_replace_recovered(spark, sf):
+    """Silver and its golds by commits, of which one crashes before its switch and one while it is applied."""
+    wh, rows = new_warehouse(spark, "slice_recovered"), silver(spark, sf)
+    tables = {_SPECS[name]: name for name in ("grupoproblema", "mediaavaliacao", "mediaresposta", "reclamacaotopten", "reclamacaouf")}
+
+    def frames(rows: DataFrame) -> dict[S.TableSpec, DataFrame]:
+        golds = gold.monthly_golds(cut_lineage(gold.monthly_rollup(rows)))
+        return {S.SILVER_MONTHLY: rows} | {spec: golds[name] for spec, name in tables.items()}
+
+    commits = Commits(wh)
+    old = frames(rows.where(F.col("sexo") == "F"))
+    commits.replace(old)
+    lost = Commit(commits)
+    lost.stage(old)
+    half = Commit(commits)
+    half.stage(frames(rows))
+    half.switch()
+    commits.apply(half.moves[: len(half.moves) // 2])
+    Commits(wh).recover()
+    return _slice_counts(wh, [S.SILVER_MONTHLY, *tables])
+
+
+def _slice_counts(wh: Warehouse, specs: list[S.TableSpec]) -> DataFrame:
+    counts = [
+        wh.table(spec).groupBy(S.SLICE_KEY).agg(F.count("*").alias("n")).select(F.lit(spec.name).alias("table_name"), S.SLICE_KEY, "n")
+        for spec in specs
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 @_query
 def slice_append(spark, sf):
     """The append mode doubles a slice when it runs again."""

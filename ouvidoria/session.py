@@ -71,6 +71,11 @@ class Files:
         fs, p = self._open(path)
         return fs.exists(p)
 
+    def qualified(self, path: str) -> str:
+        """The one form of a path with its scheme, so that two of them can be compared."""
+        fs, p = self._open(path)
+        return fs.makeQualified(p).toString()
+
     def names(self, folder: str) -> list[str]:
         """Names in a folder, in order; none if there is no such folder."""
         fs, p = self._open(folder)

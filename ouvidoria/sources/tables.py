@@ -7,13 +7,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ouvidoria.schemas import ALL_TABLES, BRONZE, GOLD, SILVER, SLICE_KEY, TableSpec
 from ouvidoria.session import path_exists, require_ref
 
-def _as_list(refs: str | Iterable[str] | None) -> list[str] | None:
+
+def as_list(refs: str | Iterable[str] | None) -> list[str] | None:
     if refs is None:
         return None
     return [require_ref(r) for r in dict.fromkeys([refs] if isinstance(refs, str) else refs)]
@@ -48,9 +49,10 @@ class Warehouse:
     def create(self, specs: Iterable[TableSpec] = tuple(ALL_TABLES)) -> DataFrame:
         """Create databases and tables where they are missing; raises if any of them fails.
 
-        A new table takes up the slices that already lie at its location.
+        A new table takes up the slices that already lie at its location, or where commits have put them.
         """
         specs = list(specs)
+        found_again = False
         phases = [
             ([f"CREATE DATABASE IF NOT EXISTS {self.prefix}{db}"], db, None)
             for db in dict.fromkeys(s.database for s in specs)
@@ -60,8 +62,14 @@ class Warehouse:
             known = self.spark.catalog.tableExists(self.name(spec))
             if not known and path_exists(self.spark, self.location(spec.path_suffix)):
                 statements.append(f"ALTER TABLE {self.name(spec)} RECOVER PARTITIONS")
+                found_again = True
             phases.append((statements, spec.database, spec.name))
-        return self._phases(phases)
+        report = self._phases(phases)
+        if found_again:
+            from ouvidoria.sources.commit import Commits
+
+            Commits(self).restore()
+        return report
 
     def drop(self) -> DataFrame:
         """Drop tables, then databases, gold first. Data files stay, as the tables are external."""
@@ -133,11 +141,11 @@ class Warehouse:
         does it for several slices at once, where each task might hold rows of all of them; turn
         it off when the source is already cut by slice, and on where a filter left little behind.
         """
-        return self._replace(spec, df, _as_list(refs), rebalance)
+        return self._replace(spec, df, as_list(refs), rebalance)
 
     def replace_many(self, frames: dict[TableSpec, DataFrame], refs: str | Iterable[str] | None = None) -> None:
         """Replace slices of several tables side by side: small writes are mostly waiting."""
-        wanted = _as_list(refs)
+        wanted = as_list(refs)
         with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
             run = inheritable_thread_target(self.spark)(self._replace)
             for done in [pool.submit(run, spec, df, wanted, None) for spec, df in frames.items()]:
@@ -148,25 +156,27 @@ class Warehouse:
         if wanted is not None and len(wanted) == 1:
             self._replace_one(spec, rows, wanted[0], bool(rebalance))
             return wanted
-        # One narrow aggregate names the slices; it reads the slice column and what filters need, nothing else.
-        present = sorted(r[0] or "" for r in rows.select(SLICE_KEY).distinct().collect())
-        if wanted is not None and (others := set(present) - set(wanted)):
-            raise ValueError(f"{spec.full_name}: rows of slices that were not named: {sorted(others)[:5]}")
-        if present:
-            even = rows if rebalance is False else rows.hint("rebalance", SLICE_KEY)
-            even.write.mode("overwrite").insertInto(self.name(spec))
+        if wanted is not None:
+            rows = self.only(spec, rows, F.col(SLICE_KEY).isin(wanted))
+        # The write itself tells which slices it met: the source is evaluated once.
+        seen = Observation()
+        rows = rows.observe(seen, F.collect_set(F.coalesce(SLICE_KEY, F.lit(""))).alias("refs"))
+        even = rows if rebalance is False else rows.hint("rebalance", SLICE_KEY)
+        even.write.mode("overwrite").insertInto(self.name(spec))
+        present = sorted(seen.get["refs"])
         for ref in set(wanted or []) - set(present):
             self.clear(spec, ref)
         return present if wanted is None else wanted
 
-    def _replace_one(self, spec: TableSpec, rows: DataFrame, ref: str, rebalance: bool) -> None:
-        """A row of another slice fails the write, before anything is moved in.
+    def only(self, spec: TableSpec, rows: DataFrame, known: Column) -> DataFrame:
+        """A row of another slice fails the write, before anything is moved in."""
+        key = F.col(SLICE_KEY)
+        message = F.concat(F.lit(f"{spec.full_name}: a row of a slice that was not named: "), F.coalesce(key, F.lit("null")))
+        return rows.withColumn(SLICE_KEY, F.when(known, key).otherwise(F.raise_error(message)).cast("string"))
 
-        The slice stays a dynamic one: a static PARTITION clause would delete it before the new rows are written.
-        """
-        message = F.concat(F.lit(f"{spec.full_name}: not of slice {ref}: "), F.coalesce(SLICE_KEY, F.lit("null")))
-        key = F.when(F.col(SLICE_KEY).eqNullSafe(ref), F.col(SLICE_KEY)).otherwise(F.raise_error(message))
-        checked = rows.withColumn(SLICE_KEY, key.cast("string"))
+    def _replace_one(self, spec: TableSpec, rows: DataFrame, ref: str, rebalance: bool) -> None:
+        """The slice stays a dynamic one: a static PARTITION clause would delete it before the new rows are written."""
+        checked = self.only(spec, rows, F.col(SLICE_KEY).eqNullSafe(ref))
         seen = Observation()
         written = (checked.hint("rebalance") if rebalance else checked).observe(seen, F.count(F.lit(1)).alias("n"))
         written.write.mode("overwrite").insertInto(self.name(spec))
