@@ -35,6 +35,8 @@ from ouvidoria.sources.tables import Warehouse, as_list
 
 # Hidden from readers of a table's folder, as names with an underscore are.
 _VERSIONS = "_versions"
+# Slices in one statement to the catalog.
+_AT_ONCE = 200
 _SWITCHED, _APPLIED = ".switched.json", ".applied.json"
 
 
@@ -133,12 +135,18 @@ class Commits:
 
     def apply(self, moves: list[Move]) -> None:
         """Point the catalog at the new folders; what is there already, or belongs to a later commit, stays."""
-        for spec, own in self.by_table(moves):
-            held = self.catalog(spec)
-            for m in own:
-                if held.get(m.ref) in (m.old, m.new):
-                    self._point(spec, m.ref, held.get(m.ref), m.new)
-            self.wh.spark.catalog.refreshTable(self.wh.name(spec))
+        self._side_by_side(self._apply_one, self.by_table(moves))
+
+    def _apply_one(self, spec: TableSpec, moves: list[Move]) -> None:
+        held = self.catalog(spec)
+        self._point(spec, {m.ref: m.new for m in moves if held.get(m.ref) in (m.old, m.new)}, held)
+
+    def _side_by_side(self, work, parts: list[tuple]) -> None:
+        """Statements of several tables at once: each mostly waits for the catalog."""
+        with ThreadPoolExecutor(max_workers=max(1, len(parts))) as pool:
+            run = inheritable_thread_target(self.wh.spark)(work)
+            for done in [pool.submit(run, *part) for part in parts]:
+                done.result()
 
     def close(self, name: str) -> None:
         self.files.move(f"{self.log}/{name}{_SWITCHED}", f"{self.log}/{name}{_APPLIED}")
@@ -165,9 +173,7 @@ class Commits:
         for name in self._logged(_APPLIED):
             last |= {(m.table, m.ref): m for m in self._moves(name, _APPLIED)}
         for spec, moves in self.by_table(list(last.values())):
-            held = self.catalog(spec)
-            for m in moves:
-                self._point(spec, m.ref, held.get(m.ref), m.new)
+            self._point(spec, {m.ref: m.new for m in moves}, self.catalog(spec))
 
     def vacuum(self, older_than_seconds: float = 7 * 24 * 3600) -> int:
         """Remove the folders that applied commits older than that replaced. Returns how many went."""
@@ -211,12 +217,16 @@ class Commits:
     def _moves(self, name: str, state: str) -> list[Move]:
         return [Move(**m) for m in json.loads(self.files.read(f"{self.log}/{name}{state}"))]
 
-    def _point(self, spec: TableSpec, ref: str, held: str | None, place: str | None) -> None:
-        table, part = self.wh.name(spec), f"PARTITION ({SLICE_KEY} = '{require_ref(ref)}')"
-        if place is None:
-            if held is not None:
-                self.wh.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
-        elif held is None:
-            self.wh.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part} LOCATION '{place}'")
-        elif held != place:
-            self.wh.spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{place}'")
+    def _point(self, spec: TableSpec, places: dict[str, str | None], held: dict[str, str]) -> None:
+        table, sql = self.wh.name(spec), self.wh.spark.sql
+        part = lambda ref: f"PARTITION ({SLICE_KEY} = '{require_ref(ref)}')"
+        new = [f"{part(ref)} LOCATION '{place}'" for ref, place in places.items() if place is not None and ref not in held]
+        gone = [part(ref) for ref, place in places.items() if place is None and ref in held]
+        for at in range(0, len(new), _AT_ONCE):
+            sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new[at : at + _AT_ONCE])}")
+        for at in range(0, len(gone), _AT_ONCE):
+            sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone[at : at + _AT_ONCE])}")
+        for ref, place in places.items():
+            if place is not None and held.get(ref, place) != place:
+                sql(f"ALTER TABLE {table} {part(ref)} SET LOCATION '{place}'")
+        self.wh.spark.catalog.refreshTable(table)
