@@ -5,6 +5,8 @@ Classification is written another way than in Spark, as joins with a keyword tab
 
 from __future__ import annotations
 
+import re
+
 from ouvidoria.functions.text import BANK_WORD, FULL_NAME_BANKS
 from ouvidoria.operators import taxonomy
 from ouvidoria.plans import registry
@@ -159,10 +161,6 @@ _CTES: dict[str, str] = {
     f"(WHERE page_ts <= TIMESTAMP '{registry.MARK}'), min(page_ts)) FROM paged)",
 }
 
-# What each expression reads, for expressions that name others.
-_ORDER = list(_CTES)
-
-
 def _with(body: str) -> str:
     """Prefix ``body`` with the expressions it needs, directly or not."""
     needed: set[str] = set()
@@ -181,7 +179,7 @@ def _with(body: str) -> str:
 
 def _identifiers(sql: str) -> list[str]:
     """Names after FROM and JOIN."""
-    tokens = sql.replace("(", " ( ").replace(")", " ) ").replace(",", " , ").split()
+    tokens = re.sub(r"'[^']*'", "''", sql).replace("(", " ( ").replace(")", " ) ").replace(",", " , ").split()
     return [tokens[i + 1] for i, t in enumerate(tokens[:-1]) if t.upper() in ("FROM", "JOIN")]
 
 
@@ -242,6 +240,54 @@ def _reclean(width: int) -> str:
     return f"trim(regexp_replace(left('\"' || text || '\"' || chr(10), {width}), '[\\n\\r\"]', '', 'g'))"
 
 
+def _lines(*lines: str) -> str:
+    return " || chr(10) || ".join(map(_quote, lines))
+
+
+_CATEGORIA_HEAD = _lines(
+    ".", "Escolha a categoria do relato, coerente com a macrocategoria, entre as opções seguintes.", *taxonomy.CATEGORIAS,
+    "Responda apenas com o nome da opção.", "Relato: ",
+)
+_SUBCATEGORIA_HEAD = _lines(
+    ".", "Escolha a subcategoria mais específica do relato entre as opções seguintes.", *taxonomy.SUBCATEGORIAS,
+    "Responda apenas com o nome da opção.", "Relato: ",
+)
+_MACRO_HEAD = _lines(
+    "Escolha a macrocategoria do relato entre as opções seguintes.", *taxonomy.MACROS,
+    "Responda apenas com o nome da opção; na dúvida, Outros.", "Relato: ",
+)
+_REPLY_HEAD = _lines(
+    "Escreva a resposta ao cliente em até 4 linhas, com empatia, sem primeira pessoa e sem frases prontas; diga o que será "
+    "feito e não invente fatos.", "Macrocategoria: ",
+)
+_REANALYSIS_HEAD = _lines(
+    "O cliente ficou insatisfeito. Escreva nova resposta em até 5 linhas, que reconheça a insatisfação e informe que o caso "
+    "será reavaliado, com ação concreta.", "Nota: ",
+)
+_PROMPTS = {
+    "macro": f"{_MACRO_HEAD} || relato",
+    "categoria": f"'Macrocategoria: ' || macro_categoria || {_CATEGORIA_HEAD} || relato",
+    "subcategoria": "'Macrocategoria: ' || macro_categoria || '.' || chr(10) || 'Categoria: ' || categoria || "
+    f"{_SUBCATEGORIA_HEAD} || relato",
+    "resposta": f"{_REPLY_HEAD} || macro_categoria || chr(10) || 'Categoria: ' || categoria || chr(10) || "
+    "'Subcategoria: ' || subcategoria || chr(10) || 'Relato: ' || relato",
+    "reanalise": f"{_REANALYSIS_HEAD} || nota || chr(10) || 'Comentário: ' || comentario || chr(10) || 'Macrocategoria: ' || "
+    "macro_categoria || chr(10) || 'Categoria: ' || categoria || chr(10) || 'Relato: ' || relato",
+}
+_ANSWER = f"'{registry.MODEL}: ' || md5({{prompt}})"
+_CTES |= {
+    "asked1": f"SELECT *, [{', '.join(map(_quote, taxonomy.MACROS))}]"
+    f"[CAST('0x' || substr(md5({_PROMPTS['macro']}), 1, 2) AS INTEGER) % {len(taxonomy.MACROS)} + 1] AS macro_categoria "
+    "FROM daily WHERE nomeempresa LIKE '%Santander%'",
+    "asked2": f"SELECT *, {_ANSWER.format(prompt=_PROMPTS['categoria'])} AS categoria FROM asked1",
+    "asked3": f"SELECT *, {_ANSWER.format(prompt=_PROMPTS['subcategoria'])} AS subcategoria FROM asked2",
+    "asked": "SELECT *, " + ", ".join(f"{case} AS {name}" for name, case in _MACRO_CASE.items())
+    + f", {_ANSWER.format(prompt=_PROMPTS['resposta'])} AS resposta_sugerida, CASE WHEN status = 'Não Resolvido' "
+    f"THEN {_ANSWER.format(prompt=_PROMPTS['reanalise'])} ELSE '' END AS resposta_final FROM asked3",
+}
+_ORDER = list(_CTES)
+
+
 def _bodies() -> dict[str, str]:
     sql: dict[str, str] = {f"gold_{t.name}": f"SELECT * FROM g_{t.name}" for t in GOLD_TABLES}
     sql |= {name: f"SELECT * FROM {name}" for name in _CTES if name.startswith("ds_")}
@@ -362,6 +408,10 @@ def _bodies() -> dict[str, str]:
         "reply_reanalysis": "SELECT status, resposta_final, count(*) AS n FROM classified GROUP BY ALL",
         "daily_classified": f"SELECT {_DAILY_COLUMNS}, datrefcarga, macro_categoria, categoria, subcategoria, canal, "
         "prioridade, sla_dias, resposta_sugerida, resposta_final FROM classified",
+        "classified_by_model": f"SELECT {_DAILY_COLUMNS}, datrefcarga, macro_categoria, categoria, subcategoria, canal, "
+        "prioridade, sla_dias, resposta_sugerida, resposta_final FROM asked",
+        "model_prompts": f"SELECT {', '.join(f'md5({p}) AS {n}' for n, p in _PROMPTS.items())}, count(*) AS n FROM classified "
+        "GROUP BY ALL",
         "batch_score": "SELECT md5(relato) AS relato_md5, length(relato) AS pontos FROM daily",
         "cross_filter": f"SELECT * FROM ds_reclamacaouf WHERE {_BY_BANK} AND {_BY_MONTH}",
         "facet_banco": _facet("Banco", registry._MONTHLY_DATASETS, _BY_MONTH),

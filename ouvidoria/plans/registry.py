@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from functools import partial, reduce
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ouvidoria import schemas as S
 from ouvidoria.functions import dates, text
-from ouvidoria.operators import classify, conform, gold, incremental, scoring
+from ouvidoria.operators import classify, conform, gold, incremental, scoring, taxonomy
+from ouvidoria.operators.answers import AnswerStore
 from ouvidoria.plans import chains, dashboard
 from ouvidoria.plans.fixtures import complaints_daily, complaints_monthly, table
 from ouvidoria.session import cut_lineage, scratch_path
@@ -30,6 +32,7 @@ BANKS = ["Santander", "Banco do Brasil", "B7"]
 MONTHS = ["1995-02", "1996-03", "1999-12"]
 DAYS = ["05/01/2024", "06/01/2024"]
 LINK_TEXT = "the"
+MODEL = "m1"
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -501,6 +504,43 @@ def batch_score(spark, sf):
     )
 
 
+def _stand_in(prompts: pd.Series, model: str) -> pd.Series:
+    """Deterministic answers: a macro category by the prompt's digest, else a text that names the digest."""
+    digests = prompts.map(lambda p: hashlib.md5(p.encode()).hexdigest())
+    macros = taxonomy.MACROS
+    chosen = digests.map(lambda d: f'"{macros[int(d[:2], 16) % len(macros)]}"\n')
+    return chosen.where(prompts.str.startswith("Escolha"), f"{model}: " + digests)
+
+
+@_query
+def classified_by_model(spark, sf):
+    """The model chain twice with one store: the second run takes every answer from it."""
+    daily = conform.of_institution(complaints_daily(spark, sf))
+    store = AnswerStore.temporary(spark)
+    scoring.classified_daily_by_model(daily, _stand_in, MODEL, store)
+
+    def refuse(prompts: pd.Series, model: str) -> pd.Series:
+        raise RuntimeError(f"asked again: {len(prompts)} prompts")
+
+    return S.SILVER_DAILY.conform(scoring.classified_daily_by_model(daily, refuse, MODEL, store))
+
+
+@_query
+def model_prompts(spark, sf):
+    """What the model is asked, with the lexicon's labels in place of its own."""
+    rows, c = classified(spark, sf), F.col
+    labels = [c("macro_categoria"), c("categoria"), c("subcategoria")]
+    prompts = {
+        "macro": scoring.macro_prompt(c("relato")),
+        "categoria": scoring.categoria_prompt(c("relato"), *labels[:1]),
+        "subcategoria": scoring.subcategoria_prompt(c("relato"), *labels[:2]),
+        "resposta": scoring.reply_prompt(c("relato"), *labels),
+        "reanalise": scoring.reanalysis_prompt(c("relato"), c("nota"), c("comentario"), *labels[:2]),
+    }
+    hashed = rows.select(*[F.md5(prompt).alias(name) for name, prompt in prompts.items()])
+    return hashed.groupBy(*prompts).agg(F.count("*").alias("n"))
+
+
 # -- cross-filters ----------------------------------------------------------------------------
 
 
