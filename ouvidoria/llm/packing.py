@@ -14,7 +14,7 @@ table gives no rows.
 from __future__ import annotations
 
 import json
-import re
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
@@ -23,8 +23,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ouvidoria.llm.common import partitions, staged, text_or_empty
 
@@ -33,16 +36,10 @@ TOKENIZER = "byte_bpe_50k.json"
 # Lengths above capacity / LARGE are grouped and configured; GROUPS bounds the number of rounded sizes.
 LARGE = 8
 GROUPS = 256
-# Chunks of text whose ids a Python worker remembers from task to task, in each of two generations.
-REMEMBERED = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-# A chunk ends before a single space that a visible character follows: the tokenizer never joins across that place.
-_CHUNK_END = re.compile(r" (?=\S)")
-_MARKS = (".", ",")
-_IRREGULAR = re.compile(r" (?=\s|$)")
-# Latin letters, which are letters in every version of Unicode: a word of them is one unit of the tokenizer.
-_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+# Fixed value: the units of text that byte-level tokenizers of this family never merge across.
+_UNITS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -51,123 +48,71 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class _Words:
-    """Ids of many words of letters in one call: they are spelt in the byte alphabet and go to the merges at once.
-
-    In that alphabet a space inside a unit is a letter too, so blanks can part the units, and every unit starts with
-    the one token that begins with that letter.
-    """
-
-    def __init__(self, tokenizer):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        state = json.loads(tokenizer.to_str())
-        way = state["pre_tokenizer"] or {}
-        self.usable = (
-            state["normalizer"] is None
-            and way.get("type") == "ByteLevel"
-            and way.get("use_regex", True)
-            and not way.get("add_prefix_space")
-            and state["model"]["type"] == "BPE"
-        )
-        if not self.usable:
-            return
-        self.merges = Tokenizer(tokenizer.model)
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        one = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        spelt = {b: one.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
-        # Bytes above 127 never stand alone in a text; two-byte letters show how they are spelt.
-        for letter in map(chr, range(0x80, 0x800)):
-            spelt |= dict(zip(letter.encode(), one.pre_tokenize_str(letter)[0][0], strict=True))
-        self.spelling = spelt | {ord("\n"): " "}
-        vocabulary = tokenizer.get_vocab()
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.opens[[i for token, i in vocabulary.items() if token[0] == spelt[ord(" ")]]] = True
-
-    def ids(self, words: list[str], at_once: int = 100):
-        """Bytes of the ids of each word with a space before it."""
-        groups = [words[i : i + at_once] for i in range(0, len(words), at_once)]
-        spelt = [(" " + "\n ".join(g)).encode().decode("latin-1").translate(self.spelling) for g in groups]
-        encode = getattr(self.merges, "encode_batch_fast", self.merges.encode_batch)
-        for group, found in zip(groups, encode(spelt, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, dtype="<u4")
-            edges = (4 * np.flatnonzero(self.opens[ids])).tolist()
-            raw = ids.tobytes()
-            yield from zip(group, (raw[a:b] for a, b in zip(edges, [*edges[1:], len(raw)], strict=True)), strict=True)
-
-
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """The encoder of this Python worker, which serves one task after the other."""
     return Encoder(path)
 
 
-class Encoder:
-    """Ids of whole texts as little-endian 32-bit words; equal chunks are encoded once while they are remembered.
+def _byte_letters() -> dict[str, int]:
+    """Letter of the byte-level alphabet -> byte: printable bytes stand for themselves, others follow from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _same_merges(tokenizer) -> tiktoken.Encoding | None:
+    """The tokenizer's ids by a faster merging loop, if that provably gives the same; else None.
 
-    A chunk is kept without the space before it; the first chunk of a text, which has none, is kept with a space.
+    The loop merges the neighbours whose union has the smallest id. That is what the file's list of merges does if ids
+    rise along the list and if the merges alone spell every token: then, when a union of id r is next, its bytes are split
+    as the list splits them, since all smaller merges inside have been done and none across its ends has.
     """
+    state = json.loads(tokenizer.to_str())
+    model, way = state["model"], state["pre_tokenizer"] or {}
+    plain = (
+        state["normalizer"] is None
+        and (way.get("type"), way.get("use_regex", True), bool(way.get("add_prefix_space"))) == ("ByteLevel", True, False)
+        and model["type"] == "BPE"
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        and not any(t[k] for t in state["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    )
+    if not plain:
+        return None
+    letters, added = _byte_letters(), {t["content"]: t["id"] for t in state["added_tokens"]}
+    vocabulary = {token: i for token, i in model["vocab"].items() if token not in added}
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    bare = Tokenizer(tokenizer.model)
+    spelt = zip(vocabulary.values(), bare.encode_batch(list(vocabulary), add_special_tokens=False), strict=True)
+    if merged != sorted(merged) or not all(e.ids == [i] for i, e in spelt):
+        return None
+    ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
+    return tiktoken.Encoding("same", pat_str=_UNITS, mergeable_ranks=ranks, special_tokens=added)
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
+class Encoder:
+    """Ids of whole texts as little-endian 32-bit words, added tokens included."""
+
+    def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.words = _Words(self.tokenizer)
-        self.fresh: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.same = _same_merges(self.tokenizer)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunked = [self._chunks(text) for text in texts]
-        known = self._known(set().union(*chunked))
-        return [b"".join([known[c] for c in chunks]) for chunks in chunked]
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        parts = _CHUNK_END.split(text) if _IRREGULAR.search(text) else text.split(" ")
-        parts[0] = " " + parts[0]
-        return parts
-
-    def _known(self, wanted: set[str]) -> dict[str, bytes]:
-        """Ids of all wanted chunks; those not remembered are encoded, words apart from a stop or comma after them."""
-        if len(self.fresh) > REMEMBERED:
-            self.older, self.fresh = self.fresh, {}
-        fresh, older = self.fresh, self.older
-        missing, stems = [], []
-        for c in wanted.difference(fresh):
-            if c in older:
-                fresh[c] = older[c]
-            elif c[-1:] in _MARKS and c[:-1].isalpha():
-                stems.append(c)
-            else:
-                missing.append(c)
-        bare = {c[:-1] for c in stems}.difference(missing)
-        missing += [c for c in bare if c not in fresh and c not in older]
-        if self.words.usable:
-            plain = [c for c in missing if _LETTERS.fullmatch(c)]
-            fresh.update(self.words.ids(plain))
-            missing = [c for c in missing if not _LETTERS.fullmatch(c)]
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for at in range(0, len(missing), 20_000):
-            block = missing[at : at + 20_000]
-            texts = [c[1:] if c[0] == " " else " " + c for c in block]
-            for c, e in zip(block, encode(texts, add_special_tokens=False), strict=True):
-                fresh[c] = np.array(e.ids, dtype="<u4").tobytes()
-        marks = {m: self._ids(m) for m in _MARKS}
-        for c in stems:
-            fresh[c] = (fresh.get(c[:-1]) or older[c[:-1]]) + marks[c[-1]]
-        return fresh
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.same is None:
+            batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+            found = [e.ids for e in batch(texts, add_special_tokens=False)]
+        else:
+            found = [self.same.encode(t, allowed_special="all") for t in texts]
+        return [np.array(ids, dtype="<u4").tobytes() for ids in found]
 
 
 def tokenised_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
-    """One row per piece: only documents longer than the capacity are cut, and only their first piece is shorter."""
+    """One row per piece: only documents longer than the capacity are cut, and only their first piece is shorter.
 
-    def run(frames):
-        import os
+    ``task`` numbers the task that made it, so that equal rows of a hot document can be told apart.
+    """
 
+    def run(frames):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = encoder(path or tokenizer_path()).encode
         tail = np.uint32(end_id).astype("<u4").tobytes()
@@ -192,9 +137,9 @@ def tokenised_pieces(docs: DataFrame, path: str | None = None, capacity: int = C
                         start, length, piece = start + length, capacity, piece + 1
                 at = to
             result = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield result.astype({"doc_id": "Int64"})
+            yield result.astype({"doc_id": "Int64"}).assign(task=TaskContext.get().partitionId())
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(run, PIECES)
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(run, f"{PIECES}, task int")
 
 
 # --- the plan, over counts of lengths ---------------------------------------------------------------------------------
@@ -400,7 +345,7 @@ def best_fit_sequences(
     spark = docs.sparkSession
     pieces = staged(tokenised_pieces(docs, path, capacity, end_id), "pieces")
     salts = max(16, partitions(spark))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "task"), F.lit(salts)))
     dealt = staged(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "length-counts")
     # At most ``capacity`` rows reach the driver.
     counts = {int(r["length"]): int(r["n"]) for r in dealt.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -277,7 +277,6 @@ def test_packing(spark, odd, empty):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     got = packing.best_fit_sequences(odd, capacity=256).collect()
     want = Counter()
     for r in odd.collect():
@@ -310,14 +309,42 @@ def test_encoder_equals_the_tokenizer():
         assert encoder.encode([text]) == [want]
 
 
-def test_encoder_joins_words_as_the_tokenizer_does(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 5)  # chunks are forgotten between calls
+def test_encoder_gives_the_ids_of_the_file(spark):
+    """Every character between letters, digits, marks and blanks; added tokens; texts without units to part them."""
     encoder = packing.Encoder(packing.tokenizer_path())
-    assert encoder.words.usable
-    words = "über café naïve, straße. ǆ ß × ÷ ñandú Éan onst.\nHeshes 日本 語. á à́ \xa0é ŉ ı İ 🙂 a. ﬁ"
-    for text in [words, "plain words and plain words", words, " ".join(f"w{chr(97 + i % 26)}rd" * (i % 5 + 1) for i in range(500))]:
-        want = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        assert encoder.encode([text, text]) == [want, want]
+    assert encoder.same is not None
+    rng = random.Random(5)
+    letters = "über café naïve, straße. ǆ ß × ÷ ñandú Éan onst.\nHeshes 日本 語. á à́ \xa0é ŉ ı İ 🙂 a. ﬁ it's they'LL 1² ½Ⅻ \u2003\u200b\t"
+    texts = ["", letters, "a <|endoftext|> b<|endoftext|><|endoftext|>", "<|endoftext", "ab" * 50_000, " " * 3000 + "x", "\r\n\r\n a"]
+    texts += ["".join(rng.choices(letters + "aeiou  ", k=rng.randrange(1, 200))) for _ in range(500)]
+    shown = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 61 == 0)]
+    texts += [f"a{chr(c)}b1{chr(c)}2 {chr(c)} .{chr(c)}!{chr(c)}\n{chr(c)}{chr(c)}x" for c in shown]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want
+    encoder.same = None
+    assert encoder.encode(texts[:50]) == want[:50]
+
+
+def test_other_tokenizers_are_not_taken_for_the_same():
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = packing._byte_letters()
+    vocabulary = {c: i for i, c in enumerate(letters)} | {"ab": 300, "abc": 290}
+    for merges in ([("a", "b"), ("ab", "c")], [("ab", "c"), ("a", "b")]):
+        other = Tokenizer(models.BPE(vocab=vocabulary, merges=merges))
+        other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+        assert packing._same_merges(other) is None or merges[0] == ("ab", "c") and other.encode("abc").ids == [290]
+    other.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    assert packing._same_merges(other) is None
+
+
+def test_packing_spreads_copies_without_an_id(spark):
+    """Equal rows without an id do not meet in one group of ranks."""
+    rows = spark.createDataFrame([(None, "the same words") for _ in range(400)], "doc_id long, text string").repartition(20)
+    pieces = packing.tokenised_pieces(rows).select(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "task"), F.lit(16)).alias("s"))
+    assert pieces.distinct().count() > 5
+    got = packing.best_fit_sequences(rows, capacity=64)
+    assert got.count() == got.select("sequence_id", "offset").distinct().count() == 400
 
 
 def test_pipeline_stages(spark, sf_dir, odd, labels, tmp_path):
