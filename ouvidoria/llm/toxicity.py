@@ -243,9 +243,8 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, toxic: int, ordin
 
 def _model(spark: SparkSession, rows: DataFrame) -> KneserNey:
     words = staged(word_counts(rows.select("text", "toxic")), "toxic-words")
-    # Words of a single document are noise for the classes: they would make each document speak for itself.
-    often = words.groupBy("word").agg(F.sum("docs").alias("in_docs")).filter("in_docs >= 2").select("word")
-    grams = ngram_counts(words.join(often, "word", "left_semi")).orderBy("gram").toPandas()
+    # Words of a single document stay: discounts and continuation counts weaken them, and what they share still counts.
+    grams = ngram_counts(words).orderBy("gram").toPandas()
     return KneserNey.fit(grams["gram"].tolist(), grams["toxic"].to_numpy(float), grams["ordinary"].to_numpy(float))
 
 

@@ -228,6 +228,24 @@ def test_toxicity(spark, odd, labels, empty):
     assert toxicity.toxicity_scores(odd, labels.limit(0)).filter("score <> 0").count() == 0
 
 
+def test_toxicity_learns_from_words_that_occur_once(spark):
+    """Every text has one word of its own; those of toxic texts have a stem in common."""
+    rng = random.Random(13)
+    common = [f"{a}{b}{c}" for a in "bdfglm" for b in "aeiou" for c in ("n", "rt", "st")]
+    own = lambda n: "".join(rng.choice("aeioubcdfglmnprst") for _ in range(n))
+    rows = []
+    for i in range(1200):
+        toxic = i % 4 == 0
+        words = [rng.choice(common) for _ in range(12)]
+        words.insert(rng.randrange(12), "kwyx" + own(4) if toxic else own(8))
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    known = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    held = toxicity.toxicity_scores(docs, known).filter("held_out").join(known, "doc_id").groupBy("toxic", "predicted").count().collect()
+    n = {(r["toxic"], r["predicted"]): r["count"] for r in held}
+    assert n.get((1, 1), 0) >= 0.95 * (n.get((1, 1), 0) + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 2
+
+
 def fingerprint_by_hand(text):
     words = words_of(text)
     words = [w.lower() for w in words]
