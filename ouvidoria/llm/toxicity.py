@@ -9,12 +9,12 @@ most toxic run of words, and over the whole. A logistic fit on the training text
 The n-gram tables come from a bounded sample of labelled rows; their counts are gathered by Spark, over distinct words.
 
 Defined results: null and empty texts have no evidence and get the score of none; without labels of both kinds every
-score is the share of label 1 (0 if there are none); rows that repeat a doc_id are scored each.
+score is the share of label 1 (0 if there are none); rows that repeat a doc_id are scored each; texts of any length are
+scored whole; equal evidence gives equal scores; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -75,83 +75,134 @@ def ngram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
     )
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(text: str) -> np.ndarray:
+    """Characters as numbers from one on; zero is no character."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+
+
+def _hashes(rows: np.ndarray) -> np.ndarray:
+    """One number for each row of characters; zeros before them change nothing."""
+    h = np.zeros(len(rows), np.uint64)
+    for column in rows.T:
+        h = h * _BASE + column
+    return h
+
+
+def _aligned(grams: list[str], order: int) -> np.ndarray:
+    """A row of ``order`` characters for each n-gram, zeros first."""
+    lengths = np.fromiter(map(len, grams), np.int64, len(grams))
+    out = np.zeros((len(grams), order), np.uint32)
+    row = np.repeat(np.arange(len(grams)), lengths)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[row, order - lengths[row] + place] = _codes("".join(grams))
+    return out
+
+
+def _found(keys: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``sought`` among sorted ``keys``, and which of them are there."""
+    if not len(keys):
+        return np.zeros(len(sought), np.int64), np.zeros(len(sought), bool)
+    at = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
+    return at, keys[at] == sought
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys, the place of each row's key among them, and sums of ``values`` by key."""
+    distinct, of = np.unique(keys, return_inverse=True)
+    return distinct, of, [np.bincount(of, v, len(distinct)) for v in values]
+
+
+def shared_backoff(rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted hashes, probabilities) of the n-grams of each length below the longest, by continuation counts.
+
+    An n-gram counts by how many longer ones of either class end in it.
+    """
+    order = rows.shape[1]
+    lengths = (rows > 0).sum(axis=1)
+    levels, longer = [], np.zeros((0, order), np.uint32)
+    for k in range(order, 0, -1):
+        ends = longer.copy()
+        ends[:, order - k - 1] = 0
+        level, own = np.concatenate([ends, rows[lengths == k]]), np.r_[np.ones(len(ends)), np.zeros((lengths == k).sum())]
+        hashes, one, of = np.unique(_hashes(level), return_index=True, return_inverse=True)
+        longer = level[one]
+        if k < order:
+            shorter = longer.copy()
+            shorter[:, order - k] = 0
+            levels.append((hashes, np.bincount(of, own, len(hashes)), _hashes(longer[:, :-1]), _hashes(shorter)))
+    known, out = (np.zeros(1, np.uint64), np.array([1e-4])), []
+    for hashes, n, context, shorter in reversed(levels):
+        _, of, (total, kinds) = _summed(context, n, (n > 0).astype(float))
+        total, kinds = total[of], kinds[of]
+        lower = known[1][_found(known[0], shorter)[0]]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            p = np.maximum(n - SHARED_DISCOUNT, 0) / total + SHARED_DISCOUNT * kinds / total * lower
+        known = hashes, np.where(total > 0, p, lower)
+        out.append(known)
+    return out
+
+
 @dataclass
 class KneserNey:
-    """Log ratio of toxic to ordinary probability for every n-gram that either class has, and how to find the others."""
+    """Log ratio of toxic to ordinary probability for every n-gram that either class has, and how to find the others.
 
-    ratio: dict[str, float]
-    left: dict[str, float]
+    Tables are sorted hashes and numbers beside them: a few bytes an n-gram, in the driver and in every task.
+    """
+
+    grams: np.ndarray
+    ratio: np.ndarray
+    contexts: np.ndarray
+    left: np.ndarray
     order: int = ORDER
 
     @classmethod
-    def fit(cls, grams: list[str], toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER) -> KneserNey:
-        # Shared lower orders: in how many longer n-grams of either class does this one end?
-        cont: list[dict[str, int]] = [defaultdict(int) for _ in range(order)]
-        level = set(grams)
-        for _ in range(order):
-            shorter = defaultdict(int)
-            for g in level:
-                if len(g) > 1:
-                    shorter[g[1:]] += 1
-            for g, n in shorter.items():
-                cont[min(len(g), order - 1)][g] += n
-            level = set(shorter)
-        shared: dict[str, float] = {"": 0.0}
-        totals: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-        for k in range(1, order):
-            for g, n in cont[k].items():
-                cell = totals[g[:-1]]
-                cell[0] += n
-                cell[1] += 1
-
-        def backoff(g: str) -> float:
-            """Shared probability of the last character after the ones before."""
-            p = shared.get(g)
-            if p is not None and g:
-                return p
-            if not g:
-                return 1e-4
-            n, kinds = totals.get(g[:-1], (0, 0))
-            lower = backoff(g[1:]) if len(g) > 1 else 1e-4
-            if n:
-                own = max(cont[min(len(g), order - 1)].get(g, 0) - SHARED_DISCOUNT, 0.0)
-                lower = own / n + SHARED_DISCOUNT * kinds / n * lower
-            shared[g] = lower
-            return lower
-
-        def discount(n):
-            return DISCOUNTS[min(int(n), 3)]
-
+    def fit(cls, rows: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> KneserNey:
+        """From n-grams (rows of characters, zeros first) and how often each class has them."""
+        order = rows.shape[1]
+        lengths = (rows > 0).sum(axis=1)
+        lower = np.full(len(rows), 1e-4)
+        for k, (hashes, p) in enumerate(shared_backoff(rows), 1):
+            mine = np.flatnonzero(lengths == k + 1)
+            ends = rows[mine].copy()
+            ends[:, order - k - 1] = 0
+            lower[mine] = p[_found(hashes, _hashes(ends))[0]]
+        discounts = np.array(DISCOUNTS)
+        t_off, o_off = (discounts[np.minimum(n, 3).astype(np.int64)] for n in (toxic, ordinary))
         # Of every context: what follows it in toxic and in ordinary texts, and how much of that is left to the backoff.
-        after: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
-        for g, t, o in zip(grams, toxic, ordinary, strict=True):
-            cell = after[g[:-1]]
-            cell[0] += t
-            cell[1] += discount(t)
-            cell[2] += o
-            cell[3] += discount(o)
-
-        def given(n, total, spare, lower):
-            return (n - discount(n) + spare * lower) / total if total else lower
-
-        ratio = {}
-        for g, t, o in zip(grams, toxic, ordinary, strict=True):
-            nt, st, no, so = after[g[:-1]]
-            lower = backoff(g[1:])
-            ratio[g] = math.log(given(t, nt, st, lower)) - math.log(given(o, no, so, lower))
-        # An n-gram that neither class has gets what both left over of a context: only the shares differ.
-        left = {h: math.log(st / nt) - math.log(so / no) for h, (nt, st, no, so) in after.items() if nt and no}
-        return cls(ratio, left, order)
+        contexts, of, (nt, st, no, so) = _summed(_hashes(rows[:, :-1]), toxic, t_off, ordinary, o_off)
+
+        def given(n, off, total, spare):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.where(total > 0, (n - off + spare * lower) / total, lower)
 
-    def word(self, word: str) -> float:
-        """Log-likelihood ratio of a whole word."""
-        s = START + word + END
-        total = 0.0
-        for e in range(2, len(s) + 1):
-            g = s[max(0, e - self.order) : e]
-            r = self.ratio.get(g)
-            total += r if r is not None else self.left.get(g[:-1], 0.0)
-        return total
+        ratio = np.log(given(toxic, t_off, nt[of], st[of])) - np.log(given(ordinary, o_off, no[of], so[of]))
+        # An n-gram that neither class has gets what both left over of a context: only the shares differ.
+        both = (nt > 0) & (no > 0)
+        left = np.log(st[both] / nt[both]) - np.log(so[both] / no[both])
+        hashes = _hashes(rows)
+        sort = np.argsort(hashes)
+        return cls(hashes[sort], ratio[sort], contexts[both], left, order)
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log-likelihood ratios of whole words."""
+        spelt = [START + w + END for w in words]
+        codes = _codes("".join(spelt))
+        lengths = np.fromiter(map(len, spelt), np.int64, len(spelt))
+        place = np.arange(len(codes))
+        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        before, whole = np.zeros(len(codes), np.uint64), np.zeros(len(codes), np.uint64)
+        for back in range(self.order - 1, -1, -1):
+            inside = np.flatnonzero(place - back >= first)
+            before[inside] = whole[inside]
+            whole[inside] = whole[inside] * _BASE + codes[inside - back]
+        at, known = _found(self.grams, whole)
+        spare, open_ = _found(self.contexts, before)
+        value = np.where(known, self.ratio[at] if len(self.ratio) else 0.0, np.where(open_, self.left[spare] if len(self.left) else 0.0, 0.0))
+        value[place == first] = 0.0  # the mark that opens a word is given
+        return np.add.reduceat(value, np.cumsum(lengths) - lengths) if len(spelt) else np.zeros(0)
 
 
 class Reader:
@@ -160,23 +211,20 @@ class Reader:
     def __init__(self, model: KneserNey):
         self.model, self.known = model, {}
 
-    def ratios(self, text: str) -> np.ndarray:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        out = []
-        for w in words_of(text):
-            r = known.get(w)
-            if r is None:
-                r = known[w] = self.model.word(w)
-            out.append(r)
-        return np.array(out)
-
-    def evidence(self, text: str) -> tuple[float, float, float]:
+    def learn(self, words: set[str]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list(words.difference(self.known))
+        for at in range(0, len(new), 50_000):
+            block = new[at : at + 50_000]
+            self.known.update(zip(block, self.model.words(block).tolist(), strict=True))
+
+    def evidence(self, words: list[str]) -> tuple[float, float, float]:
         """Mean ratio of the most toxic words, of the most toxic run of words, and of all words."""
-        r = self.ratios(text)
-        if not len(r):
+        if not words:
             return (0.0, 0.0, 0.0)
+        known = self.known
+        r = np.array([known[w] for w in words])
         top = np.sort(r)[-TOP:].sum() / TOP
         sums = np.cumsum(np.r_[0.0, r])
         run = min(RUN, len(r))
@@ -219,7 +267,12 @@ def evidence_frame(docs: DataFrame, model: KneserNey, keep: str) -> DataFrame:
     def run(frames):
         reader = Reader(shared.value)
         for frame in frames:
-            rows = [reader.evidence(t) for t in frame["text"]]
+            rows = []
+            # Two hundred texts at a time: the words that are new are looked up together.
+            for at in range(0, len(frame), 200):
+                texts = [words_of(t) for t in frame["text"].iloc[at : at + 200]]
+                reader.learn(set().union(*texts))
+                rows += [reader.evidence(words) for words in texts]
             out = pd.DataFrame(rows, columns=["top", "run", "mean"], dtype=float)
             out.insert(0, name, frame[name].astype("Int64").array)
             yield out
@@ -244,8 +297,10 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, toxic: int, ordin
 def _model(spark: SparkSession, rows: DataFrame) -> KneserNey:
     words = staged(word_counts(rows.select("text", "toxic")), "toxic-words")
     # Words of a single document stay: discounts and continuation counts weaken them, and what they share still counts.
-    grams = ngram_counts(words).orderBy("gram").toPandas()
-    return KneserNey.fit(grams["gram"].tolist(), grams["toxic"].to_numpy(float), grams["ordinary"].to_numpy(float))
+    table = ngram_counts(words).orderBy("gram").toArrow()
+    rows = [_aligned(b.column("gram").to_pylist(), ORDER) for b in table.to_batches(max_chunksize=100_000)]
+    counts = [table.column(c).to_numpy().astype(float) for c in ("toxic", "ordinary")]
+    return KneserNey.fit(np.concatenate(rows) if rows else np.zeros((0, ORDER), np.uint32), *counts)
 
 
 def train(

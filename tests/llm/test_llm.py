@@ -246,6 +246,46 @@ def test_toxicity_learns_from_words_that_occur_once(spark):
     assert n.get((1, 1), 0) >= 0.95 * (n.get((1, 1), 0) + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 2
 
 
+def test_kneser_ney_probabilities(spark):
+    """Every log ratio against dictionaries of strings, and what neither class has against the shares left over."""
+    rng = random.Random(3)
+    words = Counter("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 7))) for _ in range(120))
+    order, grams = 4, defaultdict(lambda: [0, 0])
+    for i, w in enumerate(words):
+        s = toxicity.START + w + toxicity.END
+        for e in range(2, len(s) + 1):
+            grams[s[max(0, e - order) : e]][i % 3 == 0] += words[w]
+    ends = {g[k:] for g in grams for k in range(len(g))}
+    cont = Counter(x[1:] for x in ends if len(x) > 1)
+    d = toxicity.SHARED_DISCOUNT
+
+    def shared(g):
+        if not g:
+            return 1e-4
+        total = sum(n for x, n in cont.items() if x[:-1] == g[:-1] and len(x) == len(g))
+        kinds = sum(1 for x, n in cont.items() if x[:-1] == g[:-1] and len(x) == len(g))
+        return max(cont[g] - d, 0) / total + d * kinds / total * shared(g[1:]) if total else shared(g[1:])
+
+    cut = lambda n: toxicity.DISCOUNTS[min(n, 3)]
+    def given(g, c):
+        after = [n[c] for x, n in grams.items() if x[:-1] == g[:-1]]
+        total, spare = sum(after), sum(map(cut, after))
+        return (grams[g][c] - cut(grams[g][c]) + spare * shared(g[1:])) / total if total else shared(g[1:])
+
+    names = sorted(grams)
+    rows = toxicity._aligned(names, order)
+    model = toxicity.KneserNey.fit(rows, np.array([grams[g][1] for g in names], float), np.array([grams[g][0] for g in names], float))
+    place = {h: i for i, h in enumerate(model.grams.tolist())}
+    for g, h in zip(names, toxicity._hashes(rows).tolist(), strict=True):
+        assert model.ratio[place[h]] == pytest.approx(np.log(given(g, 1)) - np.log(given(g, 0)), abs=1e-9)
+    known = list(words)[:20]
+    for w, got in zip(known, model.words(known), strict=True):
+        s = toxicity.START + w + toxicity.END
+        want = [s[max(0, e - order) : e] for e in range(2, len(s) + 1)]
+        assert got == pytest.approx(sum(np.log(given(g, 1)) - np.log(given(g, 0)) for g in want))
+    assert model.words(["zz"])[0] == pytest.approx(0.0, abs=10) and len(model.words([])) == 0
+
+
 def fingerprint_by_hand(text):
     words = words_of(text)
     words = [w.lower() for w in words]
