@@ -25,6 +25,15 @@ def fold(divisor: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % divisor
 
 
+def named(column: str) -> Column:
+    """A column by its name as it is, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    return F.struct(*[named(c) for c in df.columns]).alias("row")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it again: computed once, survives lost executors."""
     spark = df.sparkSession

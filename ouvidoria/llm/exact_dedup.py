@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ouvidoria.llm.common import SPACES, partitions, staged, text_or_empty
+from ouvidoria.llm.common import SPACES, partitions, staged, text_or_empty, whole_row
 from ouvidoria.session import scratch_path
 
 
@@ -91,16 +91,31 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     )
 
 
+def _least_row(docs: DataFrame) -> Column:
+    """The least of several rows by their columns; maps, which have no order, go by their text."""
+    maps = [c for c, kind in docs.dtypes if "map<" in kind or kind == "variant"]
+    if not maps:
+        return F.min("row")
+    parts = [F.to_json(F.struct(F.col("row").getField(c))) if c in maps else F.col("row").getField(c) for c in docs.columns]
+    return F.min_by("row", F.struct(*parts))
+
+
 def rows_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """One row of ``docs``, with all its columns, for each of ``places`` (digest, stay): of that text and that id.
 
-    Of rows that share both the least by its columns stays.
+    Rows meet by text and id together, so copies of one text that do not stay are spread by their ids. Of rows that share
+    both the least by its columns stays.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", digest_column().alias("of"))
-    # Not a join key: texts are shuffled once, by the digest that they are then grouped by.
-    own = F.coalesce(F.col("doc_id") == F.col("stay"), F.col("doc_id").isNull() & F.col("stay").isNull())
-    same = (F.col("of") == F.col("digest")) & own
-    return rows.join(places, same, "left_semi").groupBy("of").agg(F.min("row").alias("row")).select("row.*")
+    rows = docs.select(
+        whole_row(docs),
+        digest_column().alias("of"),
+        F.col("doc_id").isNull().alias("nameless"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+    )
+    wanted = places.select(F.col("digest").alias("of"), F.col("stay").isNull().alias("nameless"), F.coalesce("stay", F.lit(0)).alias("id"))
+    keys = ["of", "nameless", "id"]
+    chosen = rows.join(wanted.hint("merge"), keys, "left_semi").groupBy(*keys).agg(_least_row(docs).alias("row"))
+    return chosen.select("row.*")
 
 
 def distinct_documents(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ouvidoria.llm.common import WORD, staged, text_or_empty
+from ouvidoria.llm.common import WORD, staged, text_or_empty, whole_row
 
 # Weights of the sources in code-point order, repeating; the mix has SHARE times all words, a source CAP times its own.
 WEIGHTS = (3, 1, 2)
@@ -157,10 +157,9 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     The document at which a source's budget ends is taken once more if at least half of it is within the budget.
     Only the plan, one row per source, is joined; texts aren't shuffled while the plan is small.
     """
-    names = docs.columns
     rows = staged(keyed(docs, seed), "mix-keys")
     chosen = plan(rows, **options)
-    full = docs.select(F.struct(*names).alias("row"), "doc_id", "source", "text")
+    full = docs.select(whole_row(docs), "doc_id", "source", "text")
     measured = full.select(
         "row", "doc_id", "source", size_column().alias("size"), F.length(text_or_empty()).alias("chars")
     )

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ouvidoria.llm.common import SPACES, WORD, fold, text_or_empty
+from ouvidoria.llm.common import SPACES, WORD, fold, text_or_empty, whole_row
 
 # Labelled rows that are fitted at most; the share of each label stays as it is.
 TRAIN_ROWS = 8000
@@ -218,6 +218,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, divisor: int = 3, held: i
 def good_documents(docs: DataFrame, labels: DataFrame, divisor: int = 3, held: int = 1, **options) -> DataFrame:
     """The rows of ``docs``, with all columns, that the classifier does not reject."""
     ensemble = train(docs, labels, fold(divisor) != held, **options)
-    row = F.struct(*docs.columns).alias("row")
-    measured = statistics(docs.select(row, "text"), ["row"]).withColumn("score", ensemble.column())
+    measured = statistics(docs.select(whole_row(docs), "text"), ["row"]).withColumn("score", ensemble.column())
     return measured.filter("score >= 0.5").select("row.*")
