@@ -318,6 +318,7 @@ def _bodies() -> dict[str, str]:
         + ", ".join(f"nullif({c}, '') AS {c}" for c in [n.lower() for n in MONTHLY_FIELDS])
         + f", datrefcarga FROM monthly WHERE datrefcarga = '{registry.MONTHLY_REF}'",
         "csv_scan_daily": "SELECT * FROM daily",
+        "csv_scan_daily_split": "SELECT * FROM daily",
         "csv_export_roundtrip": "SELECT "
         + ", ".join(
             f"nullif(replace({c}, '|', ';'), '') AS {c}" if c in ("relato", "resposta", "nota", "comentario") else c

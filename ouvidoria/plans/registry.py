@@ -18,7 +18,7 @@ from ouvidoria.operators.answers import AnswerStore
 from ouvidoria.plans import chains, dashboard
 from ouvidoria.plans.fixtures import complaints_daily, complaints_monthly, table
 from ouvidoria.session import cut_lineage, scratch_path
-from ouvidoria.sources import feeds, pages
+from ouvidoria.sources import feeds, pages, split_csv
 from ouvidoria.sources.commit import Commit, Commits
 from ouvidoria.sources.tables import Warehouse
 from ouvidoria.streaming import daily_feed
@@ -142,6 +142,16 @@ def csv_scan_daily(spark, sf):
     return S.BRONZE_DAILY.conform(scanned)
 
 
+@_query
+def csv_scan_daily_split(spark, sf):
+    """The same files, by splits: no file is one task because of the line ends in its narratives."""
+    path = scratch_path(spark, "reclamacoes_split")
+    feeds.write_feed(complaints_daily(spark, sf), path, S.DAILY_FIELDS, feeds.DAILY_SEP, slices=True)
+    scanned = split_csv.read_split_feed(spark, path, S.DAILY_FIELDS, feeds.DAILY_SEP, feeds.NULL_TEXT)
+    ref = F.regexp_extract("file", rf"{S.SLICE_KEY}=(\d{{8}})", 1)
+    return S.BRONZE_DAILY.conform(scanned.withColumn(S.SLICE_KEY, ref))
+
+
 @_query
 def csv_export_roundtrip(spark, sf):
     """The producer's form: separators replaced, further columns left out, no null marker."""
