@@ -28,10 +28,25 @@ def _constant(value: list | dict, schema: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), schema)
 
 
-def lexicon_hits(text: Column) -> Column:
-    """Lexicon words that occur in a text as whole words, case ignored."""
-    vocabulary = dict.fromkeys(w for words in taxonomy.macro_keywords().values() for w in words)
-    return F.array_intersect(_constant(list(vocabulary), "array<string>"), F.split(F.lower(text), r"[^\p{L}]+"))
+def fold(text: Column) -> Column:
+    """Lower case without accents, as ``taxonomy.folded`` has it: one translation of single characters."""
+    accents = dict(sorted(taxonomy.accented_letters().items(), key=lambda pair: not pair[1]))
+    return F.translate(F.lower(text), "".join(accents), "".join(accents.values()))
+
+
+def lexicon_hits(text: Column, folded: bool = False) -> Column:
+    """Lexicon words that occur in a text as whole words, case (and, folded, accents) ignored."""
+    vocabulary = dict.fromkeys(_word(w, folded) for words in taxonomy.macro_keywords().values() for w in words)
+    letters = fold(text) if folded else F.lower(text)
+    return F.array_intersect(_constant(list(vocabulary), "array<string>"), F.split(letters, r"[^\p{L}]+"))
+
+
+def _word(word: str, folded: bool) -> str:
+    return taxonomy.folded(word) if folded else word
+
+
+def _words(words_of: dict[str, list[str]], folded: bool) -> dict[str, list[str]]:
+    return {label: list(dict.fromkeys(_word(w, folded) for w in words)) for label, words in words_of.items()}
 
 
 def _label_table(labels: list[str], words_of: dict[str, list[str]]) -> list[dict]:
@@ -53,28 +68,32 @@ def _best_label(table: Column, hits: Column) -> Column:
     return F.when(hits.isNotNull(), F.coalesce(best["label"], F.lit(taxonomy.FALLBACK)))
 
 
-def _macro_label(hits: Column) -> Column:
-    return _best_label(_constant(_label_table(taxonomy.MACROS, taxonomy.macro_keywords()), _LABELS), hits)
+def _macro_label(hits: Column, folded: bool) -> Column:
+    words = _words(taxonomy.macro_keywords(), folded)
+    return _best_label(_constant(_label_table(taxonomy.MACROS, words), _LABELS), hits)
 
 
-def _child_label(children: dict[str, list[str]], macro: Column, hits: Column) -> Column:
+def _child_label(children: dict[str, list[str]], macro: Column, hits: Column, folded: bool) -> Column:
     tables = {
-        parent: _label_table(labels, {label: taxonomy.keywords(label) for label in labels})
+        parent: _label_table(labels, _words({label: taxonomy.keywords(label) for label in labels}, folded))
         for parent, labels in children.items()
     }
     return _best_label(F.try_element_at(_constant(tables, f"map<string, {_LABELS}>"), macro), hits)
 
 
-def classify(df: DataFrame, text: str = "relato") -> DataFrame:
-    """Add ``macro_categoria``, ``categoria`` and ``subcategoria``; a null text gets nulls."""
+def classify(df: DataFrame, text: str = "relato", folded: bool = False) -> DataFrame:
+    """Add ``macro_categoria``, ``categoria`` and ``subcategoria``; a null text gets nulls.
+
+    ``folded`` compares words without their accents: ``cartao`` and ``COBRANCA`` are words of the lexicon then.
+    """
     hits, macro = F.col(_HITS), F.col("macro_categoria")
     return (
-        df.withColumn(_HITS, lexicon_hits(F.col(text)))
-        .withColumn("macro_categoria", _macro_label(hits))
+        df.withColumn(_HITS, lexicon_hits(F.col(text), folded))
+        .withColumn("macro_categoria", _macro_label(hits, folded))
         .withColumns(
             {
-                "categoria": _child_label(taxonomy.categorias_of(), macro, hits),
-                "subcategoria": _child_label(taxonomy.subcategorias_of(), macro, hits),
+                "categoria": _child_label(taxonomy.categorias_of(), macro, hits, folded),
+                "subcategoria": _child_label(taxonomy.subcategorias_of(), macro, hits, folded),
             }
         )
         .drop(_HITS)

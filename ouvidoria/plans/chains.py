@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ouvidoria import schemas as S
 from ouvidoria.operators import classify, conform, gold, scoring
-from ouvidoria.session import require_ref
+from ouvidoria.session import cut_lineage, require_ref
 from ouvidoria.sources import feeds
 from ouvidoria.sources.commit import Commits
 from ouvidoria.sources.tables import Warehouse
@@ -56,6 +56,21 @@ def build_silver_monthly(wh: Warehouse, refs: Refs = None) -> None:
     wh.replace(S.SILVER_MONTHLY, conform.silver_monthly(bronze), refs, rebalance=True)
 
 
+def build_silver_with_rejects(wh: Warehouse, refs: Refs, rejects_path: str) -> dict[str, int]:
+    """Silver, and beside it a table of what did not parse, from one scan of bronze. Returns the metrics of the load.
+
+    Typed rows and rejects are staged together; both tables are written from there. A load's rejects are replaced with it.
+    """
+    rows = conform.financial_banks(_scope(wh.table(S.BRONZE_MONTHLY), refs))
+    metrics = Observation("conformance")
+    staged = cut_lineage(conform.counted(conform.conform_with_rejects(rows), metrics))
+    wh.replace(S.SILVER_MONTHLY, staged.drop("rejects"), refs, rebalance=True)
+    found = conform.rejects(staged).groupBy("column", "value", S.SLICE_KEY).agg(F.count("*").alias("n"))
+    writer = found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(S.SLICE_KEY)
+    writer.parquet(rejects_path)
+    return metrics.get
+
+
 def build_silver_daily(
     wh: Warehouse,
     refs: Refs = None,

@@ -285,6 +285,19 @@ _CTES |= {
     + f", {_ANSWER.format(prompt=_PROMPTS['resposta'])} AS resposta_sugerida, CASE WHEN status = 'Não Resolvido' "
     f"THEN {_ANSWER.format(prompt=_PROMPTS['reanalise'])} ELSE '' END AS resposta_final FROM asked3",
 }
+_CTES |= {
+    "folded_lexicon": "SELECT DISTINCT level, parent, position, label, strip_accents(word) AS word FROM lexicon",
+    "folded_words": "SELECT id, word FROM (SELECT id, unnest(list_distinct(string_split_regex(strip_accents(lower(relato)), "
+    "'[^\\p{L}]+'))) AS word FROM (SELECT DISTINCT id, relato FROM keyed WHERE relato IS NOT NULL)) "
+    "WHERE word IN (SELECT word FROM folded_lexicon)",
+} | {
+    name: sql.replace("words w JOIN lexicon l", "folded_words w JOIN folded_lexicon l").replace("macros m", "folded_macros m")
+    .replace("best_macro", "folded_best_macro")
+    for name, sql in {
+        "folded_best_macro": _CTES["best_macro"], "folded_macros": _CTES["macros"],
+        "folded_categoria": _CTES["best_categoria"], "folded_subcategoria": _CTES["best_subcategoria"],
+    }.items()
+}
 _ORDER = list(_CTES)
 
 
@@ -325,6 +338,7 @@ def _bodies() -> dict[str, str]:
             for c in [n.lower() for n in DAILY_FIELDS]
         )
         + " FROM daily",
+        "csv_export_bounded": f"SELECT {', '.join(n.lower() for n in DAILY_FIELDS)}, true AS within FROM daily",
         "slice_scan": f"SELECT * FROM monthly WHERE datrefcarga = '{registry.MONTHLY_REF}'",
         "slice_scan_like": f"SELECT * FROM daily WHERE datrefcarga = '{registry.DAILY_REF}' "
         "AND nomeempresa LIKE '%Santander%'",
@@ -358,6 +372,14 @@ def _bodies() -> dict[str, str]:
     }
     sql |= {
         "silver_conform": _conformed("monthly"),
+        "silver_rejects": " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", {c} AS value, datrefcarga, count(*) AS n FROM monthly "
+            f"WHERE trim({c}) <> '' AND ({typed}) IS NULL GROUP BY ALL"
+            for c, typed in [
+                *((c, _date(c)) for c in BR_DATE_COLUMNS), ("datafinalizacao", "TRY_CAST(datafinalizacao AS DATE)"),
+                *((c, _int(c)) for c in INT_COLUMNS),
+            ]
+        ),
         "silver_financial": "SELECT * FROM silver",
         "nota_digits": "SELECT nota, regexp_replace(upper(nota), '[^0-9]', '', 'g') AS digitos, "
         "TRY_CAST(replace(nullif(regexp_extract(nota, '(\\d+(?:[.,]\\d+)?)', 1), ''), ',', '.') AS DOUBLE) AS valor, "
@@ -387,6 +409,8 @@ def _bodies() -> dict[str, str]:
         "html_link_discovery": "SELECT page_id, url, href FROM (SELECT page_id, url, "
         "replace(unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)), '&amp;', '&') AS href FROM pages) "
         f"WHERE href <> '' AND contains(href, '{registry.LINK_TEXT}')",
+        "html_link_class": "SELECT page_id, 'https://h/base' || page_id || '.csv?a=1&b=' || page_id % 7 AS href FROM pages "
+        "WHERE page_id % 3 = 1",
         "html_record_extract": "SELECT page_id, url, r[1] AS link, r[2] AS titulo, r[3] AS paragrafo FROM ("
         "SELECT page_id, url, unnest(list_zip(list_transform(a, lambda x: replace(split_part(x, '\"', 1), '&amp;', '&')), "
         f"list_transform(a, lambda x: {_plain("substr(split_part(x, '</a>', 1), strpos(x, '>') + 1)")}), {_PARAGRAPHS}, true)) AS r "
@@ -402,6 +426,10 @@ def _bodies() -> dict[str, str]:
         "classify_categoria": "SELECT md5(relato) AS relato_md5, macro_categoria, categoria FROM labelled",
         "classify_subcategoria": "SELECT md5(relato) AS relato_md5, macro_categoria, categoria, subcategoria "
         "FROM labelled",
+        "classify_macro_folded": "SELECT d.id AS relato_md5, m.macro AS macro_categoria, CASE WHEN d.id IS NOT NULL THEN "
+        "coalesce(c.label, 'Outros') END AS categoria, CASE WHEN d.id IS NOT NULL THEN coalesce(s.label, 'Outros') END AS "
+        "subcategoria FROM keyed d LEFT JOIN folded_macros m ON m.id = d.id LEFT JOIN folded_categoria c ON c.id = d.id "
+        "LEFT JOIN folded_subcategoria s ON s.id = d.id",
         "route_canal": "SELECT macro_categoria, canal, count(*) AS n FROM routed GROUP BY ALL",
         "route_prioridade": "SELECT macro_categoria, prioridade, count(*) AS n FROM routed GROUP BY ALL",
         "route_sla": "SELECT macro_categoria, sla_dias, count(*) AS n FROM routed GROUP BY ALL",

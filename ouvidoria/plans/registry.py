@@ -33,6 +33,7 @@ MONTHS = ["1995-02", "1996-03", "1999-12"]
 DAYS = ["05/01/2024", "06/01/2024"]
 LINK_TEXT = "the"
 MODEL = "m1"
+EXPORT_BYTES = 400_000
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -162,6 +163,18 @@ def csv_export_roundtrip(spark, sf):
     return feeds.read_daily(spark, path).toDF(*[c.lower() for c in S.DAILY_FIELDS])
 
 
+@_query
+def csv_export_bounded(spark, sf):
+    """Files of at most so many bytes and one record; a record never lies in two of them."""
+    path = scratch_path(spark, "export_bounded")
+    feeds.write_bounded(complaints_daily(spark, sf), path, S.DAILY_FIELDS, feeds.DAILY_SEP, EXPORT_BYTES)
+    rows = feeds.read_daily(spark, path, feeds.NULL_TEXT).select("*", "_metadata.file_path", "_metadata.file_size")
+    options = {"sep": feeds.DAILY_SEP, "escape": '"', "nullValue": feeds.NULL_TEXT}
+    longest = F.max(F.octet_length(F.to_csv(F.struct(*S.DAILY_FIELDS), options)) + 1).over(Window.partitionBy("file_path"))
+    within = (F.col("file_size") <= EXPORT_BYTES + longest).alias("within")
+    return rows.select(*[F.col(n).alias(n.lower()) for n in S.DAILY_FIELDS], within)
+
+
 @_query
 def slice_scan(spark, sf):
     wh = new_warehouse(spark, "slice_scan")
@@ -330,6 +343,14 @@ def silver_conform(spark, sf):
     return conform.conform(complaints_monthly(spark, sf))
 
 
+@_query
+def silver_rejects(spark, sf):
+    """What did not parse, by column, raw value and load."""
+    rows = conform.conform_with_rejects(complaints_monthly(spark, sf))
+    found = conform.rejects(rows)
+    return found.groupBy("column", "value", S.SLICE_KEY).agg(F.count("*").alias("n"))
+
+
 @_query
 def silver_financial(spark, sf):
     return silver(spark, sf)
@@ -387,7 +408,8 @@ def text_sanitize(spark, sf):
 
 @_query
 def deinterleave(spark, sf):
-    listed = table(spark, sf, "pages").select("page_id", pages.element_texts(F.col("html"), "p").alias("items"))
+    shown = table(spark, sf, "pages").select("page_id", pages.shown(F.col("html")).alias("html"))
+    listed = shown.select("page_id", pages.element_texts(F.col("html"), "p").alias("items"))
     lists = {"nota": text.every_other(F.col("items"), 0), "comentario": text.every_other(F.col("items"), 1)}
     return pages.zip_shortest(listed, lists).drop("items")
 
@@ -418,6 +440,18 @@ def html_link_discovery(spark, sf):
     return pages.find_links(table(spark, sf, "pages"), "html", containing=LINK_TEXT)
 
 
+@_query
+def html_link_class(spark, sf):
+    """Links of the download class only, in listings made of the pages: every third anchor has the class among others."""
+    styles = F.array(F.lit("btn"), F.lit(f"btn {pages.LISTING_CLASS} big"), F.lit(f"{pages.LISTING_CLASS}-not"))
+    link = F.concat(F.lit("https://h/base"), F.col("page_id"), F.lit(".csv?a=1&amp;b="), F.col("page_id") % 7)
+    anchor = F.concat(
+        F.lit("<a class='"), F.element_at(styles, (F.col("page_id") % 3 + 1).cast("int")), F.lit("' href=\""), link, F.lit("\">x</a>")
+    )
+    listings = table(spark, sf, "pages").select("page_id", F.concat(F.col("html"), anchor).alias("html"))
+    return pages.find_links(listings, "html", css_class=pages.LISTING_CLASS)
+
+
 @_query
 def html_record_extract(spark, sf):
     html = F.col("html")
@@ -478,6 +512,16 @@ def classify_subcategoria(spark, sf):
     return _labels(spark, sf, "macro_categoria", "categoria", "subcategoria")
 
 
+@_query
+def classify_macro_folded(spark, sf):
+    """Narratives that lost their accents and case on the way are classified like the others."""
+    daily = complaints_daily(spark, sf).withColumn("original", F.md5("relato"))
+    bare = daily.withColumn("relato", F.upper(classify.fold(F.col("relato"))))
+    return classify.classify(bare, folded=True).select(
+        F.col("original").alias("relato_md5"), "macro_categoria", "categoria", "subcategoria"
+    )
+
+
 def _routed(spark, sf, column: str) -> DataFrame:
     return classified(spark, sf).groupBy("macro_categoria", column).agg(F.count("*").alias("n"))
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ouvidoria.schemas import DAILY_FIELDS, MONTHLY_FIELDS, SLICE_KEY, string_struct
-from ouvidoria.session import Files, require_ref, scratch_path
+from ouvidoria.session import Files, cut_lineage, require_ref, scratch_path
 
 # Separators and file names of the two feeds.
 MONTHLY_SEP, DAILY_SEP = ";", "|"
@@ -114,6 +114,40 @@ def write_feed(
     writer.csv(path)
 
 
+def write_bounded(
+    df: DataFrame, path: str, fields: list[str], sep: str, bytes_per_file: int = 128 << 20, null_text: str | None = NULL_TEXT
+) -> int:
+    """Export ``fields`` to files of at most ``bytes_per_file`` bytes and one record; returns how many files there are.
+
+    Records are dealt by running sums of their lines' bytes on two levels: within each input partition, and over the
+    partitions, one small row each. A file takes the records that begin in its stretch of bytes, in their order, so all
+    files but the last are full. The one shuffle sends every file to a task of its own.
+    """
+    spark = df.sparkSession
+    options = {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    if null_text is not None:
+        options["nullValue"] = null_text
+    columns = [F.col(name).cast("string").alias(name) for name in fields]
+    size = F.octet_length(F.to_csv(F.struct(*fields), options)) + 1
+    measured = df.select(*columns).select(
+        *fields, size.cast("long").alias("_bytes"), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")
+    )
+    # Written once: places and order must not change between the sums and the export.
+    rows = cut_lineage(measured)
+    parts = rows.groupBy("_part").agg(F.sum("_bytes").alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    room = max(1, bytes_per_file - len(sep.join(fields).encode()) - 1)
+    total = parts.agg(F.coalesce(F.sum("_sum"), F.lit(0)).alias("n")).first()["n"]
+    files = max(1, -(-total // room))
+    running = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_before") + F.coalesce(F.sum("_bytes").over(running), F.lit(0))
+    dealt = rows.join(offsets, "_part").withColumn("_file", F.floor(start / room).cast("int"))
+    placed = dealt.repartitionById(files, F.col("_file")).sortWithinPartitions("_row").select(*fields)
+    placed.write.mode("overwrite").options(header=True, **options).csv(path)
+    return files
+
+
 def deliver_days(df: DataFrame, root: str, null_text: str | None = NULL_TEXT) -> None:
     """Daily files as the producer names them: a day that is delivered again keeps its name, ``reclamacoes_{ref}.csv``.
 

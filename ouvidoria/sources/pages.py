@@ -40,8 +40,14 @@ def shown(c: Column) -> Column:
 
 
 def elements(c: Column, tag: str) -> Column:
-    """Opening tag and content of every element of a kind; an unclosed one ends where the next begins."""
-    return F.regexp_extract_all(shown(c), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?(?=</{tag}\s*>|<{tag}[\s>]|\z)"), F.lit(0))
+    """Opening tag and content of every element of a kind in ``shown`` markup; an unclosed one ends where the next begins.
+
+    The markup is cut where an element opens, and each piece where it closes: two linear passes.
+    """
+    pieces = F.split(c, rf"(?i)<(?={tag}[\s>])")
+    opened = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    cut = F.transform(opened, lambda p: F.concat(F.lit("<"), F.regexp_replace(p, rf"(?is)</{tag}\s*>.*\z", "")))
+    return F.filter(cut, lambda e: e.rlike(rf"(?is)^<{tag}(?:\s[^>]*)?>"))
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -89,13 +95,14 @@ def zip_shortest(df: DataFrame, lists: dict[str, Column]) -> DataFrame:
 def extract_records(df: DataFrame, html: str, lists: dict[str, Column]) -> DataFrame:
     """Records from pages whose fields are repeated elements: one list of values per field.
 
-    The lists are matched by position and cut to the shortest, as a page may end half way.
+    ``lists`` read the ``shown`` markup of the page, which is made once, in a projection of its own. They are matched by
+    position and cut to the shortest, as a page may end half way.
     """
-    return zip_shortest(df, lists).drop(html)
+    return zip_shortest(df.withColumn(html, shown(F.col(html))), lists).drop(html)
 
 
 def element_texts(c: Column, tag: str) -> Column:
-    """Whole visible text of every element of a kind."""
+    """Whole visible text of every element of a kind in ``shown`` markup."""
     return F.transform(elements(c, tag), element_text)
 
 

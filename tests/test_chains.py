@@ -172,3 +172,16 @@ def test_stream_reads_a_single_file_per_slice(wh, spark, tmp_path):
 def test_golds_scan_silver_once(wh, spark, sf_dir, plan):
     silver = wh.table(S.SILVER_MONTHLY)
     assert plan(gold.monthly_rollup(silver)).count("Scan parquet") == plan(silver.agg(F.count("*"))).count("Scan parquet")
+
+
+def test_silver_with_rejects(wh, spark, sf_dir, tmp_path, rows):
+    wh.replace(S.BRONZE_MONTHLY, complaints_monthly(spark, sf_dir))
+    path = str(tmp_path / "rejects")
+    for refs in (None, ["1996-03"]):
+        metrics = chains.build_silver_with_rejects(wh, refs, path)
+        silver = conform.silver_monthly(wh.table(S.BRONZE_MONTHLY))
+        assert rows(wh.table(S.SILVER_MONTHLY)) == rows(silver)
+        kept = spark.read.parquet(path)
+        assert kept.agg(F.sum("n")).first()[0] == kept.where("column = 'dataabertura'").agg(F.sum("n")).first()[0] > 0
+    assert metrics["rows"] == silver.where("datrefcarga = '1996-03'").count()
+    assert metrics["rejected"] == metrics["dataabertura"] == (kept.where("datrefcarga = '1996-03'").agg(F.sum("n")).first()[0] or 0)

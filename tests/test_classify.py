@@ -98,3 +98,17 @@ def test_reply_rules(replied):
     assert "estamos analisando" not in first.lower()
     assert not re.search(r"\b(eu|nós|meu|nosso|estou|vamos)\b", first.lower())
     assert "insatisfação" in second and "reavaliado" in second
+
+
+def test_folded_words(spark, plan):
+    texts = ["cartao clonado", "COBRANCA INDEVIDA", "Cobrança indevida", "cobrança indevida", "CRÉDITO negado", "ação", None, "", "conta-corrente"]
+    df = spark.createDataFrame([(t,) for t in texts], "relato string")
+    got = {r.relato: (r.macro_categoria, r.categoria) for r in C.classify(df, folded=True).collect()}
+    assert got["cartao clonado"] == ("Fraudes e Segurança", "Cartão clonado") and got[None] == (None, None)
+    assert got["COBRANCA INDEVIDA"] == got["Cobrança indevida"] == got["cobrança indevida"] == ("Cobranças e Tarifas", "Cobrança indevida")
+    assert got["CRÉDITO negado"][0] == "Crédito e Financiamento" and got["ação"] == ("Outros", "Outros")
+    assert labels(df)["cartao clonado"] != got["cartao clonado"]
+    assert "Exchange" not in plan(C.classify(df, folded=True))
+    letters = "".join(chr(c) for c in range(0x21, 0x250))
+    folded = spark.createDataFrame([(letters,)], "t string").select(C.fold(F.col("t"))).first()[0]
+    assert "ç" not in folded and "ã" not in folded and "é" not in folded and "ø" in folded

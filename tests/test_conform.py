@@ -69,3 +69,22 @@ def test_filters_reach_the_scan(spark, plan, tmp_path):
 def test_load_reference_is_mandatory_and_plain(ref):
     with pytest.raises(ValueError):
         require_ref(ref)
+
+
+def test_rejects_are_what_did_not_parse(spark, plan, sf_dir):
+    from pyspark.sql import Observation
+
+    from ouvidoria import schemas as S
+    from ouvidoria.plans.fixtures import complaints_monthly
+
+    bronze = complaints_monthly(spark, sf_dir)
+    rows = conform.conform_with_rejects(bronze)
+    assert rows.drop("rejects").dtypes == conform.conform(bronze).dtypes
+    blank = {"dataabertura": "31/02/2026", "dataanalise": " ", "datarecusa": None, "temporesposta": "4.5", "notaconsumidor": ""}
+    one = spark.createDataFrame([tuple(blank.get(n.lower()) for n in S.MONTHLY_FIELDS) + ("2026-02",)], S.string_struct([n.lower() for n in S.MONTHLY_FIELDS] + ["datrefcarga"]))
+    metrics = Observation()
+    found = conform.counted(conform.conform_with_rejects(one), metrics)
+    got = {tuple(r) for r in conform.rejects(found).collect()}
+    assert got == {("dataabertura", "31/02/2026", "2026-02"), ("temporesposta", "4.5", "2026-02")}
+    assert {k: v for k, v in metrics.get.items() if v} == {"rows": 1, "rejected": 1, "dataabertura": 1, "temporesposta": 1}
+    assert plan(rows).count("Scan parquet") == plan(bronze).count("Scan parquet")
