@@ -455,8 +455,19 @@ def _bodies() -> dict[str, str]:
         "incremental_first_run": "SELECT count(*) FILTER (WHERE false) AS emitted, max(page_ts) AS next_mark FROM paged",
         "incremental_records": f"SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '{registry.MARK}'",
     }
+    sql["widget_sql"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS widget, CAST(to_json(t) AS VARCHAR) AS valores FROM ({_filtered(sql[name])}) t" for name in registry.dashboard.WIDGETS
+    )
     return sql
 
 
+def _filtered(widget: str) -> str:
+    """A widget's statement over the chosen months, where its dataset has months."""
+    for dataset in ("ds_reclamacaouf", "ds_reclamacao", "ds_mediaresposta", "ds_mediaavaliacao"):
+        if f"FROM {dataset}" in widget:
+            return widget.replace(f"FROM {dataset}", f"FROM {dataset} WHERE {_BY_MONTH}", 1)
+    return widget
+
+
 def statements() -> dict[str, str]:
     return {name: _with(body) for name, body in _bodies().items()}

@@ -15,7 +15,7 @@ from ouvidoria import schemas as S
 from ouvidoria.functions import dates, text
 from ouvidoria.operators import classify, conform, gold, incremental, scoring, taxonomy
 from ouvidoria.operators.answers import AnswerStore
-from ouvidoria.plans import chains, dashboard
+from ouvidoria.plans import chains, dashboard, sql_api
 from ouvidoria.plans.fixtures import complaints_daily, complaints_monthly, table
 from ouvidoria.session import cut_lineage, scratch_path
 from ouvidoria.sources import feeds, pages, split_csv
@@ -627,6 +627,21 @@ def cross_filter(spark, sf):
     return dashboard.cross_filter(dataset_frame(spark, sf, "ds_reclamacaouf"), selections)
 
 
+@_query
+def widget_sql(spark, sf):
+    """Every widget by its SQL function, filtered: one row for each of its rows, as JSON."""
+    wh = new_warehouse(spark, "widget_sql")
+    monthly, daily = _monthly_golds(spark, sf), _daily_golds(spark, sf)
+    wh.replace_many({_SPECS[name]: df for name, df in (monthly | daily).items()})
+    sql_api.install(wh)
+    chosen = f"array({', '.join(repr(m) for m in MONTHS)})"
+    parts = [
+        spark.sql(f"SELECT '{name}' AS widget, to_json(struct(*), map('ignoreNullFields', 'false')) AS valores FROM {wh.prefix}{name}(meses => {chosen})")
+        for name in dashboard.WIDGETS
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @_query
 def facet_banco(spark, sf):
     return _facets(_monthly_golds(spark, sf), "Banco", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
