@@ -34,11 +34,11 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[named(c) for c in df.columns]).alias("row")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it again: computed once, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write if compression is None else df.write.option("compression", compression)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

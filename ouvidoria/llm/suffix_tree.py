@@ -322,13 +322,13 @@ def block_scores(docs: pd.DataFrame, table: pd.DataFrame, tree: SuffixTree, know
 def lm_scores(docs: DataFrame, divisor: int = 7, held: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
-    blocks = staged(token_blocks(docs, fold(divisor) == held), "token-blocks")
+    blocks = staged(token_blocks(docs, fold(divisor) == held), "token-blocks", "zstd")
     vocabulary = blocks.filter(F.col("word").isNotNull()).select("block", "word", "local", "n")
-    words = staged(vocabulary.groupBy("word").agg(F.sum("n").alias("n")), "corpus-words")
+    words = staged(vocabulary.groupBy("word").agg(F.sum("n").alias("n")), "corpus-words", "zstd")
     seen = words.filter("n > 0")
     sums = seen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     across = blocks.filter(F.col("gram").isNotNull()).select("gram", "n")
-    counts = staged(context_counts(word_grams(seen), across), "context-counts")
+    counts = staged(context_counts(word_grams(seen), across), "context-counts", "zstd")
     rows = frequent(counts).toPandas()
     tree = SuffixTree.grow(list(zip(rows["context"], rows["symbol"], rows["n"].tolist(), strict=True)))
     scored = word_scores(words, tree)
