@@ -221,6 +221,7 @@ _SLICE_TOTALS = (
 )
 _DAILY_COLUMNS = ", ".join(c.lower() for c in DAILY_FIELDS)
 _BY_MONTH = f'"Ano_Mes" IN {_in(registry.MONTHS)}'
+_BY_LOAD, _BY_DAY = f"datrefcarga = '{registry.DAILY_REF}'", f"dataocorrido IN {_in(registry.DAYS)}"
 _BY_BANK = f'"Banco" IN {_in(registry.BANKS)}'
 
 def _plain(fragment: str) -> str:
@@ -442,6 +443,14 @@ def _bodies() -> dict[str, str]:
         "model_prompts": f"SELECT {', '.join(f'md5({p}) AS {n}' for n, p in _PROMPTS.items())}, count(*) AS n FROM classified "
         "GROUP BY ALL",
         "batch_score": "SELECT md5(relato) AS relato_md5, length(relato) AS pontos FROM daily",
+        "kpi_total_categorias_filtered": " UNION ALL ".join(
+            f"SELECT '{name}' AS filtro, count(DISTINCT macro_categoria) AS count_distinct_categorias FROM g_ai_macro_categoria "
+            f"WHERE {where}"
+            for name, where in {
+                "todos": "true", "carga": _BY_LOAD, "dias": _BY_DAY, "carga e dias": f"{_BY_LOAD} AND {_BY_DAY}",
+                "carga ou dias": f"{_BY_LOAD} OR {_BY_DAY}",
+            }.items()
+        ),
         "cross_filter": f"SELECT * FROM ds_reclamacaouf WHERE {_BY_BANK} AND {_BY_MONTH}",
         "facet_banco": _facet("Banco", registry._MONTHLY_DATASETS, _BY_MONTH),
         "facet_ano_mes": _facet("Ano_Mes", registry._MONTHLY_DATASETS, _BY_BANK),

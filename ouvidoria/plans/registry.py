@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ouvidoria import schemas as S
 from ouvidoria.functions import dates, text
-from ouvidoria.operators import classify, conform, gold, incremental, scoring, taxonomy
+from ouvidoria.operators import classify, conform, distinct, gold, incremental, scoring, taxonomy
 from ouvidoria.operators.answers import AnswerStore
 from ouvidoria.plans import chains, dashboard, sql_api
 from ouvidoria.plans.fixtures import complaints_daily, complaints_monthly, table
@@ -642,6 +642,18 @@ def widget_sql(spark, sf):
     return reduce(DataFrame.unionAll, parts)
 
 
+@_query
+def kpi_total_categorias_filtered(spark, sf):
+    """Distinct categories under several filters, each from the stored state alone."""
+    path = scratch_path(spark, "category_state")
+    distinct.category_state(gold_frame(spark, sf, "ai_macro_categoria")).write.parquet(path)
+    state = spark.read.schema(f"{S.SLICE_KEY} string, {distinct.DAY} string, known binary, others array<string>").parquet(path)
+    load, day = F.col(S.SLICE_KEY) == DAILY_REF, F.col(distinct.DAY).isin(DAYS)
+    filters = {"todos": F.lit(True), "carga": load, "dias": day, "carga e dias": load & day, "carga ou dias": load | day}
+    parts = [distinct.distinct_categories(state.where(f)).withColumn("filtro", F.lit(name)) for name, f in filters.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def facet_banco(spark, sf):
     return _facets(_monthly_golds(spark, sf), "Banco", _MONTHLY_DATASETS, {"Banco": BANKS, "Ano_Mes": MONTHS})
