@@ -38,7 +38,8 @@ def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFra
     """Write a table to the shared folder and read it again: computed once, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    (df.write if compression is None else df.write.option("compression", compression)).parquet(path)
+    squeezed = {} if compression is None else {"compression": compression, "parquet.compression.codec.zstd.level": "1"}
+    df.write.options(**squeezed).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
