@@ -6,7 +6,8 @@ and reach the driver as one row per language and hash bucket. Decoding is loss-w
 the logistic losses of its bits, the smallest loss wins, and a near tie is flagged as ambiguous.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter, or where nothing was learned; a single
-learned language is predicted everywhere else; rows that repeat a doc_id are predicted each.
+learned language is predicted everywhere else; rows that repeat a doc_id are predicted each; texts of any length are read
+whole; equal losses go to the language that comes first by name; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ those are compiled into one Spark column expression, so that scoring is a projec
 
 Defined results: null and empty texts have all statistics zero and are scored like others; without labels of both kinds
 every score is the share of label 1 (0.5 if there are none); rows that repeat a doc_id are scored each; labels that are
-null or have no document teach nothing.
+null or have no document teach nothing; texts of any length are measured whole; equal statistics give equal scores; other
+columns are not read by scores and are returned as they are by ``good_documents``; an empty table gives no rows.
 """
 
 from __future__ import annotations

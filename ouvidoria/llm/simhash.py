@@ -7,7 +7,8 @@ one segment this is the plain population count; more segments skip more tile pai
 ``TILE`` fingerprints; fuller ones are cut by hash into chunks. Links become components by star contraction.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; rows that repeat a doc_id are
-one document; component_id is null only if no document of a component has an id; an empty table gives no rows.
+one document; component_id is null only if no document of a component has an id; texts of any length are read whole;
+other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
