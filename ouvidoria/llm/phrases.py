@@ -11,7 +11,9 @@ equal anchors, so only segments whose anchor recurs in another document can hold
    (a word is one symbol), and streams all its documents through. A hit is extended over the words of the passage; a
    run of a window or more, equal word by word to a source with a smaller id, is removed.
 
-A passage is sent once to each bucket that has it, however many documents do. No group of documents meets in one task.
+A passage is sent once to each bucket that has it, however many documents do. No group of documents meets in one task:
+rows without an id never reach the automata, and rows that repeat an id beyond the size of a bucket are dealt by their
+texts to as many shares of that id as their bytes ask for, equal ones as one row with a count.
 
 Defined results: null text has no words; rows without an id take no part and lose nothing; rows that repeat a doc_id
 never remove each other's words, and all lose what a smaller id has; an empty table gives no rows.
@@ -20,6 +22,7 @@ never remove each other's words, and all lose what a smaller id has; an empty ta
 from __future__ import annotations
 
 from collections import defaultdict
+from zlib import crc32
 
 import ahocorasick
 import numpy as np
@@ -28,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ouvidoria.llm.common import staged, text_or_empty
+from ouvidoria.llm.common import SPACES, WORD, staged, text_or_empty
 
 WINDOW = 50
 ANCHOR = 8
@@ -120,6 +123,7 @@ def segment_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                             "anchor": anchors[one],
                             "segment": hashes[one],
                             "doc_id": np.int64(doc_id),
+                            "row": np.int64(crc32(text.encode())),
                             "start": start[one].astype(np.int32),
                             "windows": count[one].astype(np.int16),
                             "place": place[one].astype(np.int16),
@@ -132,7 +136,7 @@ def segment_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             if parts:
                 yield pd.concat(parts)
 
-    schema = "anchor long, segment long, doc_id long, start int, windows short, place short"
+    schema = "anchor long, segment long, doc_id long, row long, start int, windows short, place short"
     return docs.filter(F.col("doc_id").isNotNull()).mapInPandas(run, schema)
 
 
@@ -142,8 +146,11 @@ def source_rows(docs: DataFrame, sources: DataFrame, window: int, anchor: int) -
     Rows with ``words`` hold a segment's text, rows without it one window hash each.
     """
     fields = ("segment", "start", "windows", "place", "shared")
-    wanted = sources.groupBy(F.col("doc_id").alias("source")).agg(F.collect_list(F.struct(*fields)).alias("pieces"))
-    joined = docs.join(wanted, F.col("doc_id") == F.col("source")).select("doc_id", "text", "pieces")
+    # The checksum of the text tells the rows of a repeated id apart, so that each is asked for its own segments only.
+    keys = F.col("doc_id").alias("source"), F.col("row").alias("source_row")
+    wanted = sources.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("pieces"))
+    same = (F.col("doc_id") == F.col("source")) & (F.crc32("text") == F.col("source_row"))
+    joined = docs.join(wanted, same).select("doc_id", "text", "pieces")
 
     def run(frames):
         hasher = Hasher(window, anchor)
@@ -155,7 +162,7 @@ def source_rows(docs: DataFrame, sources: DataFrame, window: int, anchor: int) -
                 segment, start, count, place, shared = (np.array([p[f] for p in pieces]) for f in fields)
                 end = start.astype(np.int64) + count - 1 + window
                 fits = end <= len(words)
-                # Another row with this id may have given a segment; then that row has the words.
+                # Another row with this id and checksum may have given a segment; then that row has the words.
                 same = hasher.runs(prefix, start[fits], end[fits]) == segment[fits]
                 mine = np.flatnonzero(fits)[same]
                 for i in mine.tolist():
@@ -252,7 +259,7 @@ def remove_repeats(
         .select("a", (F.col("s") != F.col("t")).alias("shared"))
     )
     recurring = staged(segments.join(anchors, F.col("anchor") == F.col("a")).drop("a", "anchor"), "recurring")
-    first = F.min(F.struct("doc_id", "start", "windows", "place")).alias("f")
+    first = F.min(F.struct("doc_id", "row", "start", "windows", "place")).alias("f")
     sources = recurring.groupBy("segment", "shared").agg(first, F.max("doc_id").alias("last"))
     sources = staged(
         sources.filter(F.col("shared") | (F.col("last") > F.col("f.doc_id"))).select("segment", "shared", "last", "f.*"), "sources"
@@ -261,10 +268,26 @@ def remove_repeats(
     passages = given.filter(F.col("words").isNotNull()).select("segment", "source", "place", "words").dropDuplicates(["segment"])
     windows = given.filter(F.col("words").isNull()).select("hash", "segment", "source")
 
-    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-total // bucket_bytes)))).alias("bucket")
+    sizes = texts.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    sizes = staged(sizes, "bytes-by-id")
+    total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
+    large = sizes.filter(F.col("doc_id").isNotNull() & (F.col("rows") > 1) & (F.col("bytes") > bucket_bytes))
+    shares = large.select(F.col("doc_id").alias("large_id"), F.ceil(F.col("bytes") / bucket_bytes).cast("int").alias("shares"))
+    repeated = bool(large.take(1))
+
+    def bucket(share):
+        return F.pmod(F.xxhash64("doc_id", share), F.lit(max(1, -(-total // bucket_bytes)))).alias("bucket")
+
+    def in_all_shares(rows):
+        """(bucket, segment) of (doc_id, segment): the passages of a document go wherever its rows may be."""
+        if not repeated:
+            return rows.select(bucket(F.lit(0)), "segment")
+        spread = rows.join(shares, F.col("doc_id") == F.col("large_id"), "left")
+        share = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("shares"), F.lit(1)) - 1)).alias("share")
+        return spread.select("doc_id", "segment", share).select(bucket(F.col("share")), "segment")
+
     origin = sources.select(F.col("segment").alias("of"), F.col("doc_id").alias("origin"))
-    whole = recurring.join(origin, F.col("segment") == F.col("of")).filter("doc_id > origin").select(bucket, "segment")
+    whole = recurring.join(origin, F.col("segment") == F.col("of")).filter("doc_id > origin")
     least = windows.groupBy(F.col("hash").alias("h")).agg(
         F.min(F.struct(F.col("source").alias("origin"), F.col("segment").alias("of"))).alias("m"), F.max("source").alias("hi")
     )
@@ -272,33 +295,47 @@ def remove_repeats(
         windows.join(least.filter("hi > m.origin"), F.col("hash") == F.col("h"))
         .filter("source > m.origin")
         .select(F.col("source").alias("doc_id"), F.col("m.of").alias("segment"))
-        .select(bucket, "segment")
     )
-    wanted = staged(whole.union(parted).distinct(), "wanted")
+    wanted = whole.select("doc_id", "segment").union(parted)
+    wanted = staged(in_all_shares(wanted).distinct(), "wanted")
     sent = wanted.join(passages, "segment").select(F.col("bucket").alias("to"), "source", "place", "words")
 
     def run(_, docs, passages):
-        # A null id comes as NaN; such rows lose nothing.
         words = [t.encode().split() for t in docs["text"]]
         covered = [bytearray(len(w)) for w in words]
         for shard in shards(passages, window, anchor):
             for doc_id, own, marks in zip(docs["doc_id"], words, covered, strict=True):
-                if len(own) >= window and not pd.isna(doc_id):
+                if len(own) >= window:
                     shard.mark(doc_id, own, marks)
         kept = [b" ".join([w for w, m in zip(own, marks, strict=True) if not m]).decode() for own, marks in zip(words, covered, strict=True)]
         return pd.DataFrame(
             {
-                "doc_id": docs["doc_id"].astype("Int64"),
+                "doc_id": docs["doc_id"],
+                "copies": docs["copies"],
                 "n_words": [len(w) for w in words],
                 "n_removed": [sum(m) for m in covered],
                 "kept": kept,
             }
         )
 
-    dealt = texts.withColumn("bucket", bucket)
-    return (
-        dealt.groupBy("bucket")
-        .cogroup(sent.groupBy("to"))
-        .applyInPandas(run, "doc_id long, n_words long, n_removed long, kept string")
+    named = texts.filter(F.col("doc_id").isNotNull())
+    dealt = named.select("doc_id", "text", F.lit(1).cast("long").alias("copies"), bucket(F.lit(0)))
+    if repeated:
+        known = F.col("doc_id") == F.col("large_id")
+        # Equal rows of one id are counted where they are read and go on as one.
+        equal = named.join(shares, known).groupBy("doc_id", "shares", "text").agg(F.count(F.lit(1)).alias("copies"))
+        share = F.pmod(F.xxhash64("text"), F.col("shares"))
+        spread = equal.withColumn("share", share.cast("int")).select("doc_id", "text", "copies", bucket(F.col("share")))
+        dealt = dealt.join(shares, known, "left_anti").union(spread)
+    marked = dealt.groupBy("bucket").cogroup(sent.groupBy("to"))
+    found = marked.applyInPandas(run, "doc_id long, copies long, n_words long, n_removed long, kept string")
+    if repeated:
+        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    words = F.trim(F.regexp_replace("text", SPACES, " ")).alias("kept")
+    nameless = texts.filter(F.col("doc_id").isNull()).select(
+        "doc_id",
+        F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
+        F.lit(0).cast("long").alias("n_removed"),
+        words,
     )
-
+    return found.select("doc_id", "n_words", "n_removed", "kept").union(nameless)

@@ -179,6 +179,18 @@ def test_repeated_phrases(spark, odd, empty):
     assert phrases.remove_repeats(empty).count() == 0
 
 
+def test_one_id_of_many_rows_is_dealt_to_many_tasks(spark):
+    """A third of all rows with one id, equal and unequal texts among them, and a third without an id."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(70)]
+    text = lambda: " ".join([rng.choice("xyz") for _ in range(20)] + passage[rng.randrange(40) :])
+    rows = [(i, text()) for i in range(30)] + [(7, text()) for _ in range(30)] + [(None, text()) for _ in range(30)]
+    rows += [(7, rows[40][1])] * 9 + [(7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((tuple(r) for r in phrases.remove_repeats(df, window=12, anchor=4, bucket_bytes=900).collect()), key=str)
+    assert got == removed_by_hand(rows, 12)
+
+
 def test_automata_are_sharded():
     import pandas as pd
 
