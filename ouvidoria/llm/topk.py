@@ -1,21 +1,24 @@
 """Exact top-k inner products over norm-sorted, SVD-rotated vectors.
 
 Vectors are rotated by the right singular vectors of the whole table (from its d x d second moments), so that the first
-coordinates carry most of a product, and sorted by descending length. Queries are taken in blocks of bounded size. For
-each block the longest vectors give every query a first threshold; then all parts are scanned side by side: a run of
-vectors is left out for a query if length times length cannot reach its threshold, and a vector if, after the first 8,
-16, 32 ... coordinates, the partial sum plus the Cauchy-Schwarz bound of the rest cannot. What survives is scored with
-whole numbers. Bounds are widened by the rounding error, so no answer is lost.
+coordinates carry most of a product, sorted by descending length, and cut into parts. The longest vectors give every
+query a first threshold, and with it the length below which no vector can matter to it; queries of like lengths form
+blocks. Blocks meet the parts that are long enough for them, as rows of one join, so there is one job for any number of
+queries. In a part a run of vectors is left out for a query if length times length cannot reach its threshold, and a
+vector if, after the first 8, 16, 32 ... coordinates, the partial sum plus the Cauchy-Schwarz bound of the rest cannot.
+What survives is scored with whole numbers. Bounds are widened by the rounding error, so no answer is lost.
 
 Defined results: rows without an id, and vectors that are null, or hold null or non-finite components, take no part; shorter vectors are padded
 with zeros; scores beyond 64 bits are clipped to the nearest; rows with the query's own id are no candidates of it, and
-rows that repeat a query ask once; an empty table gives no rows.
+rows that repeat a query ask once; equal scores rank by smaller vec_id; other columns are not read; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +28,9 @@ SCALE = 1024
 K = 10
 QUERY_BLOCK = 4096
 HEAD = 2048
+# Vectors that a part has at least, but for the last of a stretch, and blocks that a task keeps open.
+PART_ROWS = 4096
+OPEN_BLOCKS = 8
 RUN = 1024
 LONG = 2**63 - 1
 SCORES = "query_id long, vec_id long, score long"
@@ -135,8 +141,85 @@ class Search:
         self.floor[q[last]] = np.maximum(self.floor[q[last]], np.nextafter(score[last].astype(float), -np.inf))
 
 
+def numbers(array: np.ndarray) -> bytes:
+    return np.ascontiguousarray(array).tobytes()
+
+
+def matrix(held: bytes, rows: int) -> np.ndarray:
+    return np.frombuffer(held, np.float64).reshape(rows, -1)
+
+
+def vector_parts(ordered: DataFrame, dims: int, part_rows: int) -> DataFrame:
+    """(stretch, part, longest, ids, v): runs of norm-sorted vectors; a stretch is one range of lengths, cut into parts."""
+
+    def run(frames):
+        stretch = TaskContext.get().partitionId()
+        part, held, size = 0, [], 0
+
+        def packed():
+            rows = pd.concat(held)
+            ids, v = rows["vec_id"].to_numpy(np.int64), padded(rows["v"], dims)
+            return pd.DataFrame([(stretch, part, rows["norm"].max(), numbers(ids), numbers(v))], columns=columns)
+
+        columns = ["stretch", "part", "longest", "ids", "v"]
+        for frame in frames:
+            for at in range(0, len(frame), part_rows):
+                # Whole slices only: a part has fewer than twice ``part_rows`` vectors.
+                piece = frame.iloc[at : at + part_rows]
+                held.append(piece)
+                size += len(piece)
+                if size >= part_rows:
+                    yield packed()
+                    part, held, size = part + 1, [], 0
+        if held:
+            yield packed()
+
+    return ordered.mapInPandas(run, "stretch int, part int, longest double, ids binary, v binary")
+
+
+def query_blocks(asked: DataFrame, basis, first, dims: int, k: int, block_rows: int) -> DataFrame:
+    """(block, reach, ids, v, floor): queries with thresholds; no vector shorter than ``reach`` can matter to a block."""
+
+    def threshold(frames):
+        ids, whole = first.value
+        turned, norm = whole @ basis.value, np.linalg.norm(whole, axis=1)
+        for frame in frames:
+            own = padded(frame["v"], dims)
+            search = Search(frame["vec_id"].to_numpy(np.int64), own, basis.value, np.full(len(frame), -np.inf), k)
+            for at in range(0, len(ids), RUN):
+                to = slice(at, at + RUN)
+                search.offer(ids[to], whole[to], turned[to], norm[to])
+            with np.errstate(divide="ignore", invalid="ignore"):
+                # A little less than the floor over the length; a query of length zero meets every vector, or none above 0.
+                reach = np.where(search.norm > 0, search.floor / search.norm, np.where(search.floor <= 0, -np.inf, np.inf))
+            reach = reach - 1e-6 * np.maximum(1.0, np.abs(np.nan_to_num(reach)))
+            yield pd.DataFrame({"vec_id": frame["vec_id"], "v": frame["v"], "floor": search.floor, "reach": reach})
+
+    def pack(frames):
+        block = TaskContext.get().partitionId() << 32
+        for frame in frames:
+            for at in range(0, len(frame), block_rows):
+                rows = frame.iloc[at : at + block_rows]
+                held = rows["vec_id"].to_numpy(np.int64), padded(rows["v"], dims), rows["floor"].to_numpy(float)
+                yield pd.DataFrame(
+                    [(block, rows["reach"].min(), *map(numbers, held))], columns=["block", "reach", "ids", "v", "floor"]
+                )
+                block += 1
+
+    known = staged(asked.mapInPandas(threshold, "vec_id long, v array<double>, floor double, reach double"), "thresholds")
+    # Queries of like reach share a block, so that a block can leave out all vectors that are too short for it.
+    count = max(1, -(-known.count() // block_rows))
+    alike = known.repartitionByRange(count, "reach", F.xxhash64("vec_id")).sortWithinPartitions("reach")
+    return staged(alike.mapInPandas(pack, "block long, reach double, ids binary, v binary, floor binary"), "query-blocks")
+
+
 def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, query_block: int = QUERY_BLOCK
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = K,
+    scale: int = SCALE,
+    query_block: int = QUERY_BLOCK,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """The ``k`` highest scores of every query (vec_id, embedding) among ``vectors``: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
@@ -144,55 +227,66 @@ def top_k(
     asked = staged(whole_vectors(queries, scale).dropDuplicates(["vec_id"]), "queries")
     shape = rows.agg(F.max(F.size("v")).alias("d")).first()["d"]
     dims = max(1, shape or 1)
-    basis = rotation(rows, dims)
-    shared = spark.sparkContext.broadcast(basis)
+    basis = spark.sparkContext.broadcast(rotation(rows, dims))
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    measured = rows.withColumn("norm", length)
-    ordered = staged(
-        measured.repartitionByRange(partitions(spark), F.col("norm").desc()).sortWithinPartitions(F.col("norm").desc()),
-        "norm-sorted",
-    )
+    # The hash parts vectors of one length.
+    order = F.col("norm").desc(), F.xxhash64("vec_id")
+    ordered = rows.withColumn("norm", length).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    parts = staged(vector_parts(ordered, dims, part_rows), "norm-sorted")
     # At most HEAD vectors, whatever the table holds.
-    head = ordered.orderBy(F.col("norm").desc(), "vec_id").limit(HEAD).toPandas()
-    first = spark.sparkContext.broadcast((head["vec_id"].to_numpy(), padded(head["v"], dims)))
-    blocks = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-asked.count() // query_block)))))
-    blocks = staged(blocks, "query-blocks")
-    found = None
-    for number in range(blocks.agg(F.coalesce(F.max("block"), F.lit(0)).alias("m")).first()["m"] + 1):
-        part = _search(blocks.filter(F.col("block") == number).drop("block"), ordered, shared, first, dims, k)
-        found = part if found is None else found.union(part)
+    head = rows.withColumn("norm", length).orderBy(F.col("norm").desc(), "vec_id").limit(HEAD).toPandas()
+    first = spark.sparkContext.broadcast((head["vec_id"].to_numpy(np.int64), padded(head["v"], dims)))
+    blocks = query_blocks(asked, basis, first, dims, k, query_block)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = grid(blocks, parts, basis, k)
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _search(block: DataFrame, ordered: DataFrame, basis, first, dims: int, k: int) -> DataFrame:
-    """Best candidates of every part of ``ordered`` for one block of queries, about QUERY_BLOCK of them."""
-
-    def threshold(frames):
-        ids, whole = first.value
-        turned, norm = whole @ basis.value, np.linalg.norm(whole, axis=1)
-        for frame in frames:
-            floor = np.full(len(frame), -np.inf)
-            search = Search(frame["vec_id"].to_numpy(), padded(frame["v"], dims), basis.value, floor, k)
-            for at in range(0, len(ids), RUN):
-                to = slice(at, at + RUN)
-                search.offer(ids[to], whole[to], turned[to], norm[to])
-            yield pd.DataFrame({"vec_id": frame["vec_id"], "v": frame["v"], "floor": search.floor})
+def grid(blocks: DataFrame, parts: DataFrame, basis, k: int) -> DataFrame:
+    """Best candidates of the parts for the blocks of queries that they may matter to, in one job.
 
-    known = block.mapInPandas(threshold, "vec_id long, v array<double>, floor double").toPandas()
-    queries = block.sparkSession.sparkContext.broadcast(
-        (known["vec_id"].to_numpy(np.int64), padded(known["v"], dims), known["floor"].to_numpy(float))
+    The stretches, one per partition of the sorted vectors, say which parts are long enough for a block.
+    """
+    stretches = parts.groupBy("stretch").agg(F.max("longest").alias("longest"), F.count(F.lit(1)).alias("parts")).collect()
+    if not stretches:
+        return blocks.select(F.lit(0).cast("long").alias("query_id"), F.lit(0).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("score")).limit(0)
+    listed = F.array(*[F.struct(F.lit(r["stretch"]).alias("s"), F.lit(r["longest"]).alias("l"), F.lit(r["parts"]).alias("n")) for r in stretches])
+    near = blocks.select("*", F.explode(F.filter(listed, lambda r: r["l"] >= F.col("reach"))).alias("to"))
+    sent = near.select(
+        "block",
+        F.col("ids").alias("q_ids"),
+        F.col("v").alias("q_v"),
+        "floor",
+        F.col("to.s").alias("s"),
+        F.explode(F.sequence(F.lit(0), F.col("to.n").cast("int") - 1)).alias("p"),
     )
+    here = (F.col("s") == F.col("stretch")) & (F.col("p") == F.col("part"))
+    pairs = sent.join(parts.hint("merge"), here).select("block", "q_ids", "q_v", "floor", "ids", "v")
 
     def scan(frames):
-        search = Search(*queries.value[:2], basis.value, queries.value[2], k)
+        # Blocks stay open from part to part, so that their thresholds rise; the oldest makes room.
+        opened: dict[int, Search] = {}
+
+        def answers(search):
+            return pd.DataFrame({"query_id": search.ids[search.q], "vec_id": search.vec, "score": search.score})
+
         for frame in frames:
-            whole = padded(frame["v"], dims)
-            turned = whole @ basis.value
-            for at in range(0, len(frame), RUN):
-                to = slice(at, at + RUN)
-                search.offer(frame["vec_id"].to_numpy(np.int64)[to], whole[to], turned[to], frame["norm"].to_numpy()[to])
-        yield pd.DataFrame({"query_id": search.ids[search.q], "vec_id": search.vec, "score": search.score})
+            for block, q_ids, q_v, floor, ids, v in frame.itertuples(index=False):
+                search = opened.pop(block, None)
+                if search is None:
+                    own = np.frombuffer(q_ids, np.int64)
+                    search = Search(own, matrix(q_v, len(own)), basis.value, np.frombuffer(floor), k)
+                    if len(opened) >= OPEN_BLOCKS:
+                        yield answers(opened.pop(next(iter(opened))))
+                opened[block] = search
+                ids = np.frombuffer(ids, np.int64)
+                whole = matrix(v, len(ids))
+                turned, norm = whole @ basis.value, np.linalg.norm(whole, axis=1)
+                for at in range(0, len(ids), RUN):
+                    to = slice(at, at + RUN)
+                    search.offer(ids[to], whole[to], turned[to], norm[to])
+        for search in opened.values():
+            yield answers(search)
 
-    return ordered.mapInPandas(scan, SCORES)
+    return pairs.mapInPandas(scan, SCORES)

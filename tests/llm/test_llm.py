@@ -56,7 +56,7 @@ def test_top_k(spark):
     vectors += [(600, [3e30] * 24), (601, [-3e30] * 24)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
     got = defaultdict(list)
-    for r in topk.top_k(df, df.filter("vec_id % 100 = 0"), k=5, query_block=2).orderBy("query_id", "rank").collect():
+    for r in topk.top_k(df, df.filter("vec_id % 100 = 0"), k=5, query_block=2, part_rows=16).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     import math
 
@@ -69,6 +69,28 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_takes_one_job_for_any_number_of_blocks(spark):
+    """Every query's answers from blocks of one query and parts of few vectors, by as many jobs as from one block."""
+    rng = np.random.default_rng(5)
+    whole = np.floor(1024 * (rng.normal(size=(300, 12)) * rng.lognormal(size=(300, 1))).round(2))
+    df = spark.createDataFrame([(i, (v / 1024).tolist(), "x") for i, v in enumerate(whole)], "vec_id long, embedding array<double>, v string")
+    asked = df.filter("vec_id < 40")
+
+    def answers(block, part):
+        group = f"top-k-{block}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = topk.top_k(df, asked, k=4, query_block=block, part_rows=part).orderBy("query_id", "rank").collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return [(r.query_id, r.vec_id, r.score) for r in got], jobs
+
+    (few, one), (many, other) = answers(4096, 4096), answers(1, 8)
+    scores = whole[:40] @ whole.T
+    want = [(q, i, int(scores[q, i])) for q in range(40) for i in sorted(set(range(300)) - {q}, key=lambda i: (-scores[q, i], i))[:4]]
+    assert few == want and many == want
+    assert abs(one - other) <= 2 and other < 40
+
+
 def test_exact_dedup(spark, odd, empty):
     keep, size = {}, Counter()
     norm = lambda t: " ".join(f"|{t or ''}|".split()).encode()
