@@ -3,8 +3,9 @@
 Each document draws an exponential key, -ln(u) / w, with u from a hash of its id and w its quality weight; documents of
 a source are taken in the order of their keys until the words of the source's budget are used up. Whole epochs come
 first, the fractional selection fills the rest. A source is never sorted as a whole: keys are cut into ranges, words are
-summed per range, and only the one range that holds the budget's end is ordered. So a source with a third of all rows
-costs no more per task than any other.
+summed per range, the one range that holds the budget's end is cut and summed once more, and only the one part of it that
+holds the end is ordered: about three in ``KEY_RANGES`` squared of a source's documents, at the least weight as at the
+highest. So a source with a third of all rows costs no more per task than any other.
 
 Defined results: null text has no words; null is a source of its own, after all others; rows that repeat a doc_id share
 one key and are cut together, each by an equal share; without words every target is 0; an empty table gives no rows.
@@ -85,13 +86,40 @@ def targets(source_sizes: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP) -> D
     return chosen.select("source", "source_size", F.least("stop", reach).alias("target"))
 
 
+def spot(key: Column) -> Column:
+    """Where a key lies among ``KEY_RANGES`` ranges, in order of keys.
+
+    The steps are even for the mean of the lowest and the highest weight's distribution, so no weight between them has
+    more than about three times its share in a range.
+    """
+    return (F.lit(2.0) - F.exp(-key) - F.exp(-key * F.lit(0.1))) * F.lit(KEY_RANGES / 2.0)
+
+
+def step(place: Column) -> Column:
+    return F.least(F.lit(KEY_RANGES - 1), F.floor(place)).cast("int")
+
+
+def budget_ends(sums: DataFrame, goals: DataFrame, place: str) -> DataFrame:
+    """(s, p, left): the place of a source in which its words reach ``rest``, and what is left of that before the place.
+
+    ``sums`` has (source, place, words), ``goals`` (s, rest).
+    """
+    running = Window.partitionBy("source").orderBy(place)
+    return (
+        sums.select("source", place, "words", F.sum("words").over(running).alias("upto"))
+        .join(goals, F.col("source").eqNullSafe(F.col("s")))
+        .filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest")))
+        .select("s", F.col(place).alias("p"), (F.col("rest") - F.col("upto") + F.col("words")).alias("left"))
+    )
+
+
 def plan(rows: DataFrame, **options) -> DataFrame:
     """One row per source: target, epochs, and where in the order of keys the fractional selection ends.
 
     Documents before (cut_key, cut_id) are selected whole; those at it give ``cut_words`` words each.
     """
-    place = F.least(F.lit(KEY_RANGES - 1), F.floor((1 - F.exp(-F.col("key"))) * KEY_RANGES)).cast("int")
-    placed = rows.withColumn("place", place)
+    placed = rows.withColumn("spot", spot(F.col("key"))).withColumn("place", step(F.col("spot")))
+    placed = placed.withColumn("part", step((F.col("spot") - F.col("place")) * KEY_RANGES)).drop("spot")
     ranges = staged(placed.groupBy("source", "place").agg(F.sum("size").alias("words")), "mix-ranges")
     sums = ranges.groupBy("source").agg(F.sum("words").alias("source_size"))
     aims = staged(targets(sums, **options), "mix-targets").select(
@@ -105,18 +133,14 @@ def plan(rows: DataFrame, **options) -> DataFrame:
     )
     aims = aims.withColumn("rest", F.floor("target").cast("long") - F.col("epochs") * F.col("source_size"))
     same = F.col("source").eqNullSafe(F.col("s"))
-    running = Window.partitionBy("source").orderBy("place")
-    ends = (
-        ranges.select("source", "place", "words", F.sum("words").over(running).alias("upto"))
-        .join(aims, same)
-        .filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest")))
-        .select(
-            F.col("source").alias("s"), F.col("place").alias("p"), (F.col("rest") - F.col("upto") + F.col("words")).alias("left")
-        )
-    )
-    ends = staged(ends, "mix-ends")
+    ends = staged(budget_ends(ranges, aims, "place"), "mix-ends")
+    near = placed.join(ends.drop("left"), same & (F.col("place") == F.col("p"))).drop("s", "p")
+    parts = staged(near.groupBy("source", "part").agg(F.sum("size").alias("words")), "mix-parts")
+    finer = budget_ends(parts, ends.select("s", F.col("left").alias("rest")), "part")
+    of = ends.select(F.col("s").alias("t"), F.col("p").alias("q"))
+    finer = staged(finer.join(of, F.col("s").eqNullSafe(F.col("t"))).drop("t"), "mix-part-ends")
     units = (
-        placed.join(ends, same & (F.col("place") == F.col("p")))
+        placed.join(finer, same & (F.col("place") == F.col("q")) & (F.col("part") == F.col("p")))
         .groupBy("source", "left", "key", "doc_id")
         .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("copies"))
     )

@@ -104,3 +104,21 @@ def test_whole_run_is_the_stages_in_turn(spark, sf_dir):
     final = corpus_pipeline.run(spark, sf_dir)
     assert final.filter("start = 0").count() == counts[4]
     assert final.agg(F.sum("length")).first()[0] > 0
+
+
+def test_the_mix_orders_few_documents_whatever_their_weight(spark, monkeypatch):
+    """Words of 43 letters have the least weight; their ranges are as even as others', and the cut is that of a full sort."""
+    rows = [(i, " ".join(["w" * 43] * (1 + i % 5)), "long") for i in range(6000)] + [(i, "short words " * (1 + i % 3), "plain") for i in range(6000, 9000)]
+    keys = mixing.keyed(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    place = keys.groupBy("source", mixing.step(mixing.spot(F.col("key"))).alias("p")).count()
+    assert place.agg(F.max("count")).first()[0] < 25
+    monkeypatch.setattr(mixing, "KEY_RANGES", 16)  # many documents in a range and a part of it
+    got = {r.plan_source: r for r in mixing.plan(keys).collect()}
+    for source in ("long", "plain"):
+        own = sorted((r.key, r.doc_id, r["size"]) for r in keys.filter(F.col("source") == source).collect())
+        left = math.floor(got[source].target) - got[source].epochs * sum(n for _, _, n in own)
+        for key, doc_id, n in own:
+            if left < n:
+                break
+            left -= n
+        assert (got[source].cut_key, got[source].cut_id, got[source].cut_words) == (key, doc_id, left)
