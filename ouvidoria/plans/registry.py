@@ -34,6 +34,8 @@ DAYS = ["05/01/2024", "06/01/2024"]
 LINK_TEXT = "the"
 MODEL = "m1"
 EXPORT_BYTES = 400_000
+# What one task should read of a multi-line file.
+READ_BYTES = 128 << 20
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -159,7 +161,7 @@ def csv_export_roundtrip(spark, sf):
     path = scratch_path(spark, "export")
     df = complaints_daily(spark, sf)
     df = df.withColumns({c: text.protect_separator(F.col(c)) for c in ("relato", "resposta", "nota", "comentario")})
-    feeds.write_feed(df, path, S.DAILY_FIELDS, feeds.DAILY_SEP, null_text=None)
+    feeds.write_feed(df, path, S.DAILY_FIELDS, feeds.DAILY_SEP, null_text=None, bytes_per_file=READ_BYTES)
     return feeds.read_daily(spark, path).toDF(*[c.lower() for c in S.DAILY_FIELDS])
 
 
