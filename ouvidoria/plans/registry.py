@@ -187,7 +187,7 @@ def slice_scan(spark, sf):
 @_query
 def slice_scan_like(spark, sf):
     wh = new_warehouse(spark, "slice_scan_like")
-    wh.replace(S.BRONZE_DAILY, complaints_daily(spark, sf))
+    wh.replace(S.BRONZE_DAILY, complaints_daily(spark, sf), rebalance=False)
     return wh.slice_like(S.BRONZE_DAILY, DAILY_REF, "nomeempresa", "%Santander%")
 
 
@@ -282,7 +282,7 @@ def catalog_create(spark, sf):
     wh = new_warehouse(spark, "catalog")
     wh.create()
     wh.replace(S.BRONZE_MONTHLY, complaints_monthly(spark, sf))
-    wh.replace(S.BRONZE_DAILY, complaints_daily(spark, sf))
+    wh.replace(S.BRONZE_DAILY, complaints_daily(spark, sf), rebalance=False)
     return _table_counts(wh, S.ALL_TABLES)
 
 

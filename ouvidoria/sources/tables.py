@@ -90,7 +90,7 @@ class Warehouse:
         columns = ", ".join(f"{name} {dtype}" for name, dtype in spec.stored_columns())
         return (
             f"CREATE TABLE IF NOT EXISTS {self.name(spec)} ({columns}) USING parquet "
-            "OPTIONS ('partitionOverwriteMode' = 'dynamic') "
+            "OPTIONS ('partitionOverwriteMode' = 'dynamic', 'compression' = 'zstd') "
             f"PARTITIONED BY ({SLICE_KEY}) LOCATION '{self.location(spec.path_suffix)}'"
         )
 
@@ -139,7 +139,8 @@ class Warehouse:
 
         ``rebalance`` shuffles rows so that each slice gets few, evenly sized files. The default
         does it for several slices at once, where each task might hold rows of all of them; turn
-        it off when the source is already cut by slice, and on where a filter left little behind.
+        it off when the source is already cut by slice or its rows are wide, as whole texts would be
+        shuffled only to be written, and on where a filter left little behind.
         """
         return self._replace(spec, df, as_list(refs), rebalance)
 

@@ -131,3 +131,17 @@ def test_writers_side_by_side_keep_each_others_slices(wh, spark, rows):
         list(pool.map(lambda m: wh.replace(SPEC, counts(spark, (m, "A", f"2024-0{m}")), f"2024-0{m}"), range(1, 5)))
     assert rows(wh.table(SPEC)) == [("A", f"2024-0{m}", m if m < 5 else 0) for m in range(1, 7)]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_tables_are_written_with_zstd(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from ouvidoria import schemas
+
+    wh = Warehouse(spark, str(tmp_path / "z"), "zstd_")
+    wh.create()
+    columns = ", ".join(f"'{'x' * 100}' AS {n}" for n in schemas.BRONZE_DAILY.column_names if n != "datrefcarga")
+    wh.replace(schemas.BRONZE_DAILY, spark.sql(f"SELECT {columns}, '20240101' AS datrefcarga"), rebalance=False)
+    file = next((tmp_path / "z").rglob("part-*.parquet"))
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+    wh.drop()
