@@ -78,8 +78,12 @@ def build_silver_daily(
     append: bool = False,
     answer: scoring.Answer | None = None,
     model: str | None = None,
+    rebalance: bool = True,
 ) -> None:
-    """Classified narratives of one institution, by the lexicon or by ``answer(prompts, model)``."""
+    """Classified narratives of one institution, by the lexicon or by ``answer(prompts, model)``.
+
+    Bronze files are cut by slice, so without ``rebalance`` no text is shuffled; with it few files come of few rows.
+    """
     rows = conform.of_institution(_scope(wh.table(S.BRONZE_DAILY), refs), institution)
     if answer is None:
         rows = classify.classified_daily(rows)
@@ -88,7 +92,7 @@ def build_silver_daily(
     if append:
         wh.append(S.SILVER_DAILY, rows)
     else:
-        wh.replace(S.SILVER_DAILY, rows, refs, rebalance=True)
+        wh.replace(S.SILVER_DAILY, rows, refs, rebalance=rebalance)
 
 
 def _build_golds(wh: Warehouse, rollup: DataFrame, golds, tables: dict[str, S.TableSpec], refs: Refs) -> None:
@@ -184,5 +188,5 @@ def backfill_daily(
     rebalance: bool | None = None,
 ) -> None:
     refs = wh.replace(S.BRONZE_DAILY, bronze, refs, rebalance)
-    build_silver_daily(wh, refs, institution)
+    build_silver_daily(wh, refs, institution, rebalance=rebalance is not False)
     build_gold_daily(wh, refs)

@@ -308,7 +308,7 @@ def monthly_chain(spark, sf):
 @_query
 def daily_chain(spark, sf):
     wh = new_warehouse(spark, "daily_chain")
-    chains.backfill_daily(wh, complaints_daily(spark, sf))
+    chains.backfill_daily(wh, complaints_daily(spark, sf), rebalance=False)
     return _table_counts(wh, [S.BRONZE_DAILY, S.SILVER_DAILY, *S.GOLD_TABLES[5:]])
 
 
