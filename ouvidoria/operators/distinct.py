@@ -24,10 +24,13 @@ def _number(label: Column) -> Column:
 def category_state(rows: DataFrame, label: str = "macro_categoria") -> DataFrame:
     """(load, day, known, others) from rows with a load, a day and a label; null labels do not count."""
     number, c = _number(F.col(label)), F.col(label)
-    return rows.where(c.isNotNull()).groupBy(SLICE_KEY, DAY).agg(
+    # Days without a label go afterwards: a filter on labels before would be pushed down to where they are made, and
+    # every text would be classified once for the filter and once more for the label.
+    return rows.groupBy(SLICE_KEY, DAY).agg(
         F.bitmap_construct_agg(F.when(number > 0, F.bitmap_bit_position(number))).alias("known"),
         F.array_sort(F.collect_set(F.when(number == 0, c))).alias("others"),
-    )
+        F.count(c).alias("_labels"),
+    ).where("_labels > 0").drop("_labels")
 
 
 def distinct_categories(state: DataFrame, output: str = "count_distinct_categorias") -> DataFrame:

@@ -26,3 +26,12 @@ def test_states_of_loads_are_put_side_by_side(spark):
     parts = [distinct.category_state(df.where(F.col("datrefcarga") == r)) for r in ("1", "2")]
     assert distinct.distinct_categories(parts[0].unionAll(parts[1])).first()[0] == 2
     assert distinct.distinct_categories(parts[0].where("false")).first()[0] == 0
+
+
+def test_state_makes_each_label_once(spark, plan):
+    """Labels made from texts: no filter makes them a second time."""
+    made = spark.createDataFrame([("20240101", "d", "a b"), ("20240101", "e", None)], "datrefcarga string, dataocorrido string, t string")
+    labelled = made.select("datrefcarga", "dataocorrido", F.element_at(F.split("t", "[^a-z]+"), 1).alias("macro_categoria"))
+    state = distinct.category_state(labelled.groupBy(*labelled.columns).agg(F.count("*").alias("qtd")))
+    assert plan(state).count("split(") <= 2 and "Condition : isnotnull(" not in plan(state)
+    assert [(r.dataocorrido, r.others) for r in state.collect()] == [("d", ["a"])]
