@@ -23,7 +23,10 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) the document with the smallest doc_id."""
+    """Of each group of near copies the document with the smallest doc_id.
+
+    Candidates by SimHash components and MinHash bands, confirmed on five-word shingles: Jaccard similarity 0.8 or more.
+    """
     return near_copies.representatives(docs)
 
 

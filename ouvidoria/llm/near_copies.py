@@ -1,6 +1,8 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of at least 0.8.
 
-Candidates share a band of MinHash values; every link is confirmed on the whole shingle sets. With ``BANDS`` bands of
+Candidates lie in one component of SimHash fingerprints (of the shingle sets, linked by ``simhash`` within its radius), or
+share a band of MinHash values, which finds those whose fingerprints lie further apart. A fingerprint component is one more
+band value. Every link is confirmed on the whole shingle sets. With ``BANDS`` bands of
 ``ROWS`` values a pair of similarity s is a candidate with probability 1 - (1 - s^ROWS)^BANDS: 0.99999 at 0.8.
 
 Documents with equal shingle sets are one node. In each band value nodes are first compared with the least and the
@@ -23,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ouvidoria.llm import simhash
 from ouvidoria.llm.common import staged, text_or_empty
 from ouvidoria.llm.components import roots
 from ouvidoria.llm.exact_dedup import digest_column, rows_at
@@ -67,14 +70,14 @@ def band_values(hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the text, node, number of shingles and band values of every row."""
+    """doc_id, digest of the text, node, number of shingles, band values and SimHash fingerprint of every row."""
 
     def run(frames):
         for frame in frames:
             rows = []
             for text in frame["text"]:
                 hashes = shingle_set(text)
-                rows.append((node_of(hashes), len(hashes), band_values(hashes).view(np.int64)))
+                rows.append((node_of(hashes), len(hashes), band_values(hashes).view(np.int64), simhash.majority(hashes)))
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"].astype("Int64"),
@@ -82,11 +85,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                     "node": np.array([r[0] for r in rows], np.uint64).view(np.int64),
                     "size": [r[1] for r in rows],
                     "bands": [r[2] for r in rows],
+                    "fp": np.array([r[3] for r in rows], np.uint64).view(np.int64),
                 }
             )
 
     texts = docs.select("doc_id", digest_column().alias("digest"), text_or_empty().alias("text"))
-    return texts.mapInPandas(run, "doc_id long, digest binary, node long, size long, bands array<long>")
+    return texts.mapInPandas(run, "doc_id long, digest binary, node long, size long, bands array<long>, fp long")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -182,9 +186,17 @@ def tiled_links(placed: DataFrame, sets: DataFrame, tile: int = TILE_SHINGLES, l
     return rows.groupBy("band", "lo", "hi").applyInPandas(run, "a long, b long")
 
 
+def fingerprint_bands(nodes: DataFrame) -> DataFrame:
+    """(node, size, band): the SimHash component of every node, as a band value of its own."""
+    distinct = staged(nodes.select("fp").distinct(), "near-fingerprints")
+    found = staged(simhash.rooted_fingerprints(distinct), "near-fingerprint-roots")
+    rooted = nodes.select("size", "fp", F.col("node").alias("of")).join(found, F.col("fp") == F.col("node"), "left")
+    return rooted.select(F.col("of").alias("node"), "size", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("band"))
+
+
 def components(docs: DataFrame, nodes: DataFrame, least: tuple[int, int] = SIMILAR, tile: int = TILE_SHINGLES) -> DataFrame:
     """(node, root) of all nodes that are linked to another."""
-    members = nodes.select("node", "size", F.explode("bands").alias("band"))
+    members = nodes.select("node", "size", F.explode("bands").alias("band")).union(fingerprint_bands(nodes))
     ends = members.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     members = staged(members.join(ends, "band"), "near-members")
     # Sets whose sizes alone forbid it are not compared.
@@ -217,7 +229,7 @@ def representatives(docs: DataFrame, least: tuple[int, int] = SIMILAR) -> DataFr
     """
     rows = staged(signatures(docs), "near-signatures")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
-    nodes = rows.groupBy("node").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min(place).alias("least"))
+    nodes = rows.groupBy("node").agg(F.first("size").alias("size"), *[F.first(c).alias(c) for c in ("bands", "fp")], F.min(place).alias("least"))
     nodes = staged(nodes, "near-nodes")
     found = components(docs, nodes, least)
     rooted = nodes.select("node", "least").join(found, "node", "left")

@@ -55,6 +55,15 @@ def fingerprint_of(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of hashes that are there already, each counted once."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65_536):
+        bits = np.unpackbits(hashes[at : at + 65_536].astype(">u8").view(np.uint8)).reshape(-1, 64)
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and the fingerprint as a signed 64-bit number."""
 
@@ -117,14 +126,18 @@ def close_pairs(distinct: DataFrame, radius: int = RADIUS, segments: int = SEGME
     return pairs.mapInPandas(run, "a long, b long")
 
 
+def rooted_fingerprints(distinct: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS, tile: int = TILE) -> DataFrame:
+    """(node, root) of the distinct fingerprints (column fp) that links within the radius join to another."""
+    return roots(staged(close_pairs(distinct, radius, segments, tile), "links"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS, tile: int = TILE
 ) -> DataFrame:
     """doc_id, fp, component_id of every row: the smallest doc_id reachable over links, itself included."""
     rows = staged(fingerprints(docs, shingle), "fingerprints")
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    links = staged(close_pairs(distinct, radius, segments, tile), "links")
-    found = roots(links)
+    found = rooted_fingerprints(distinct, radius, segments, tile)
     rooted = distinct.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )

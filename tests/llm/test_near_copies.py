@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ouvidoria.llm import exact_dedup, near_copies
+from ouvidoria.llm import exact_dedup, near_copies, simhash
 
 
 def test_common_counts():
@@ -110,3 +110,26 @@ def test_hot_text_meets_by_its_id(spark, plan):
     dealt = [line for line in plan(found).splitlines() if "hashpartitioning(of" in line]
     assert len(dealt) == 2 and all("nameless" in line and "id#" in line for line in dealt)
     assert found.count() == 1
+
+
+def test_simhash_components_give_candidates(spark, monkeypatch):
+    """Without any MinHash band, copies with one word changed still meet, and are still confirmed on whole sets."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(3000)]
+    other = [f"v{rng.randrange(10**6)}" for _ in range(3000)]
+    changed = list(base)
+    changed[1500] = "x"
+    rows = [(2, " ".join(changed)), (1, " ".join(base)), (3, " ".join(other)), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = [simhash.majority(near_copies.shingle_set(t)) for _, t in rows[:2]]
+    assert 0 < (prints[0] ^ prints[1]).bit_count() <= simhash.RADIUS
+    make = near_copies.signatures
+    monkeypatch.setattr(near_copies, "signatures", lambda docs: make(docs).withColumn("bands", F.array("node")))
+    assert sorted(r.doc_id for r in near_copies.representatives(df).collect()) == [1, 3, 4]
+
+
+def test_majority_of_hashes():
+    hashes = np.random.default_rng(5).integers(0, 2**64, 70_001, dtype=np.uint64)
+    bits = [sum(int(h) >> k & 1 for h in hashes.tolist()) * 2 > len(hashes) for k in range(64)]
+    assert simhash.majority(hashes) == sum(b << k for k, b in enumerate(bits))
+    assert simhash.majority(hashes[:0]) == 0
