@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from ouvidoria.operators import distinct, taxonomy
+from ouvidoria.operators import classify, distinct, taxonomy
 
 
 def test_every_filter(spark):
@@ -29,9 +29,10 @@ def test_states_of_loads_are_put_side_by_side(spark):
 
 
 def test_state_makes_each_label_once(spark, plan):
-    """Labels made from texts: no filter makes them a second time."""
-    made = spark.createDataFrame([("20240101", "d", "a b"), ("20240101", "e", None)], "datrefcarga string, dataocorrido string, t string")
-    labelled = made.select("datrefcarga", "dataocorrido", F.element_at(F.split("t", "[^a-z]+"), 1).alias("macro_categoria"))
-    state = distinct.category_state(labelled.groupBy(*labelled.columns).agg(F.count("*").alias("qtd")))
-    assert plan(state).count("split(") <= 2 and "Condition : isnotnull(" not in plan(state)
-    assert [(r.dataocorrido, r.others) for r in state.collect()] == [("d", ["a"])]
+    """No filter classifies texts a second time."""
+    text = F.when(F.col("id") < 2, F.concat(F.lit("conta invadida "), F.col("id").cast("string")))
+    feed = spark.range(3).select(F.lit("20240101").alias("datrefcarga"), F.col("id").cast("string").alias("dataocorrido"), text.alias("relato"))
+    counted = classify.classify(feed).groupBy("datrefcarga", "dataocorrido", "macro_categoria").agg(F.count("*").alias("qtd"))
+    state = distinct.category_state(counted)
+    assert plan(state).count("split(") == 1
+    assert sorted(r.dataocorrido for r in state.collect()) == ["0", "1"]
