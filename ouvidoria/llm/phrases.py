@@ -22,12 +22,13 @@ never remove each other's words, and all lose what a smaller id has; an empty ta
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import compress, repeat
+from re import compile as pattern
 from zlib import crc32
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +39,21 @@ ANCHOR = 8
 BUCKET_BYTES = 4_000_000
 # Distinct words that one automaton's passages may have; more passages make another automaton.
 SHARD_WORDS = 400_000
-REMEMBERED = 1_000_000
+# Windows whose anchors are found at a time; places within them take the low bits of a hash.
+STRETCH, PLACE_BITS = 65_536, np.uint64(20)
+
+# The symbol of all words that no passage of an automaton has.
+OTHER = "\x01"
 
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
+_SPACE = pattern(rb"[\x20\x09-\x0D]")
+_IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+# A number for every byte, none for white space.
+_OF_BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_OF_BYTE[_IS_SPACE] = 0
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _MIX1
@@ -50,10 +61,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def least_places(grams: np.ndarray, span: int) -> np.ndarray:
+    """Place of the smallest hash, by its high bits, in every run of ``span``; the first of equal ones.
+
+    The least of a run is the lesser of two shorter runs that cover it, and the place goes along in the low bits.
+    """
+    low = (np.uint64(1) << PLACE_BITS) - np.uint64(1)
+    least, width = (grams & ~low) | np.arange(len(grams), dtype=np.uint64), 1
+    while width < span:
+        step = min(width, span - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    return (least & low).astype(np.int64)
 
 
 class Hasher:
@@ -61,15 +79,33 @@ class Hasher:
 
     def __init__(self, window: int = WINDOW, anchor: int = ANCHOR):
         self.window, self.anchor = window, anchor
-        self.words = _WordHashes()
+        self.steps = np.ones(1, np.uint64)
         self.powers = self.inverses = np.ones(1, np.uint64)
         rng = np.random.default_rng(11)
         self.factors = rng.integers(1, 2**63, anchor, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        return np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+    def of(self, spelt: bytes) -> np.ndarray:
+        """A hash of every word of a text, from its bytes and their places in the word."""
+        data, found, a = np.frombuffer(spelt, np.uint8), [np.zeros(0, np.uint64)], 0
+        while a < len(data):
+            cut = _SPACE.search(spelt, a + STRETCH)
+            b = cut.start() if cut else len(data)
+            found.append(self._of_bytes(data[a:b]))
+            a = b
+        return np.concatenate(found)
+
+    def _of_bytes(self, data: np.ndarray) -> np.ndarray:
+        space = _IS_SPACE[data]
+        start = np.flatnonzero(~space & np.r_[True, space[:-1]])
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        length = np.diff(np.r_[start, len(data)])
+        place = np.arange(start[0], len(data)) - np.repeat(start, length)
+        if length.max() > len(self.steps):
+            self.steps = np.full(2 * length.max(), _BASE, np.uint64)
+            self.steps[0] = 1
+            self.steps = np.multiply.accumulate(self.steps)
+        return _mixed(np.add.reduceat(_OF_BYTE[data[start[0] :]] * self.steps[place], start - start[0]))
 
     def prefix(self, h: np.ndarray) -> np.ndarray:
         """Sums from which the hash of any run of words follows."""
@@ -96,8 +132,7 @@ class Hasher:
             grams += h[j : j + len(grams)] * self.factors[j]
         grams = _mixed(grams)
         span = self.window - k + 1
-        view = np.lib.stride_tricks.sliding_window_view(grams, span)
-        owner = np.concatenate([view[a : a + 65_536].argmin(axis=1) + np.arange(a, min(n, a + 65_536)) for a in range(0, n, 65_536)])
+        owner = np.concatenate([least_places(grams[a : a + STRETCH + span - 1], span) + a for a in range(0, n, STRETCH)])
         start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         count = np.diff(np.r_[start, n])
         hashes = self.runs(self.prefix(h), start, start + count - 1 + self.window)
@@ -107,34 +142,40 @@ class Hasher:
 def segment_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """One row per distinct segment of each document."""
 
+    def shaped(parts, owners):
+        anchor, segment, start, windows, place = (np.concatenate(column) for column in zip(*parts, strict=True))
+        n = [len(part[0]) for part in parts]
+        doc_id, row = (np.repeat(np.array(column, np.int64), n) for column in zip(*owners, strict=True))
+        return pd.DataFrame(
+            {
+                "anchor": anchor,
+                "segment": segment,
+                "doc_id": doc_id,
+                "row": row,
+                "start": start.astype(np.int32),
+                "windows": windows.astype(np.int16),
+                "place": place.astype(np.int16),
+            }
+        )
+
     def run(frames):
         hasher = Hasher(window, anchor)
         for frame in frames:
-            parts = []
+            parts, owners = [], []
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                words = text.encode().split()
-                if len(words) < window:
+                spelt = text.encode()
+                hashed = hasher.of(spelt)
+                if len(hashed) < window:
                     continue
-                anchors, hashes, start, count, place = hasher.segments(hasher.of(words))
+                anchors, hashes, start, count, place = hasher.segments(hashed)
                 _, one = np.unique(hashes, return_index=True)
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            "anchor": anchors[one],
-                            "segment": hashes[one],
-                            "doc_id": np.int64(doc_id),
-                            "row": np.int64(crc32(text.encode())),
-                            "start": start[one].astype(np.int32),
-                            "windows": count[one].astype(np.int16),
-                            "place": place[one].astype(np.int16),
-                        }
-                    )
-                )
+                parts.append((anchors[one], hashes[one], start[one], count[one], place[one]))
+                owners.append((doc_id, crc32(spelt)))
                 if len(parts) >= 500:
-                    yield pd.concat(parts)
-                    parts = []
+                    yield shaped(parts, owners)
+                    parts, owners = [], []
             if parts:
-                yield pd.concat(parts)
+                yield shaped(parts, owners)
 
     schema = "anchor long, segment long, doc_id long, row long, start int, windows short, place short"
     return docs.filter(F.col("doc_id").isNotNull()).mapInPandas(run, schema)
@@ -157,8 +198,8 @@ def source_rows(docs: DataFrame, sources: DataFrame, window: int, anchor: int) -
         for frame in frames:
             rows, hashes, owners = [], [], []
             for doc_id, text, pieces in zip(frame["doc_id"], frame["text"], frame["pieces"], strict=True):
-                words = text.encode().split()
-                prefix = hasher.prefix(hasher.of(words))
+                spelt = text.encode()
+                words, prefix = spelt.split(), hasher.prefix(hasher.of(spelt))
                 segment, start, count, place, shared = (np.array([p[f] for p in pieces]) for f in fields)
                 end = start.astype(np.int64) + count - 1 + window
                 fits = end <= len(words)
@@ -200,7 +241,7 @@ class Shard:
 
     def mark(self, doc_id: int, words: list[bytes], covered: bytearray) -> None:
         """Mark the words of a document that lie in runs of a window or more that a source with a smaller id has."""
-        text = "".join(map(self.codes.__getitem__, words))
+        text = "".join(map(self.codes.get, words, repeat(OTHER)))
         for end, found in self.automaton.iter(text):
             at = end - self.anchor + 1
             for spelt, place, source in found:
@@ -228,9 +269,6 @@ class _Codes(dict):
             code = self[word] = chr(n if n < 0xD800 else n + 0x800)
         return code
 
-    def __missing__(self, word: bytes) -> str:
-        return "\x01"
-
 
 def shards(passages: pd.DataFrame, window: int, anchor: int, most: int = SHARD_WORDS):
     """Automata over all passages, each with at most ``most`` distinct words (one passage at least)."""
@@ -307,13 +345,17 @@ def remove_repeats(
             for doc_id, own, marks in zip(docs["doc_id"], words, covered, strict=True):
                 if len(own) >= window:
                     shard.mark(doc_id, own, marks)
-        kept = [b" ".join([w for w, m in zip(own, marks, strict=True) if not m]).decode() for own, marks in zip(words, covered, strict=True)]
+        flipped = bytes([1, 0])
+        kept = [
+            b" ".join(compress(own, marks.translate(flipped + bytes(254))) if 1 in marks else own).decode()
+            for own, marks in zip(words, covered, strict=True)
+        ]
         return pd.DataFrame(
             {
                 "doc_id": docs["doc_id"],
                 "copies": docs["copies"],
                 "n_words": [len(w) for w in words],
-                "n_removed": [sum(m) for m in covered],
+                "n_removed": [m.count(1) for m in covered],
                 "kept": kept,
             }
         )

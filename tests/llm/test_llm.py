@@ -185,6 +185,23 @@ def removed_by_hand(rows, window):
     return sorted(out, key=str)
 
 
+def test_hashes_of_words_and_places_of_anchors():
+    """From bytes at once, over cuts of long texts: one hash a word, wherever it stands; the first of the least."""
+    hasher, rng = phrases.Hasher(), np.random.default_rng(3)
+    vocabulary = ["a", "aa", "ab", "ba", "ção", "\u00a0x", "x" * 70_000, *map(str, range(500))]
+    words = [vocabulary[i] for i in rng.integers(0, len(vocabulary), 4000)]
+    spaces = [" ", "\n", "\t \r", "\x0b\x0c"]
+    text = " " + "".join(w + spaces[i % 4] for i, w in enumerate(words))
+    hashes = hasher.of(text.encode())
+    known = {w: hasher.of(w.encode()).tolist() for w in vocabulary}
+    assert [h for w in words for h in known[w]] == hashes.tolist() and len({h for v in known.values() for h in v}) == len(vocabulary)
+    assert len(hasher.of(b" \n ")) == len(hasher.of(b"")) == 0
+    for n, span in ((43, 43), (500, 43), (9, 1), (30, 5)):
+        grams = rng.integers(0, 6, n, dtype=np.uint64) << np.uint64(40)
+        runs = np.lib.stride_tricks.sliding_window_view(grams, span)
+        assert phrases.least_places(grams, span).tolist() == (runs.argmin(axis=1) + np.arange(n - span + 1)).tolist()
+
+
 def test_repeated_phrases(spark, odd, empty):
     got = sorted((tuple(r) for r in phrases.remove_repeats(odd, bucket_bytes=4000).collect()), key=str)
     assert got == removed_by_hand([(r.doc_id, r.text) for r in odd.collect()], 50)
