@@ -20,7 +20,7 @@ training documents all counts are 0 and the tree is the uniform distribution.
 from __future__ import annotations
 
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import count
 from math import log10
 
@@ -43,6 +43,7 @@ GAIN = 2.0
 BLOCK_TOKENS = 2_000_000
 CHUNK = 200_000
 REMEMBERED = 1_000_000
+REMEMBERED_GRAMS = 300_000
 
 # Words never hold white space, so these three can mark what isn't a character.
 START, END, STOP = " ", "\n", "\t"
@@ -118,11 +119,14 @@ class Joints:
 
     def __init__(self, words: list[str], tails: tuple[int, ...] = TAILS):
         spelt = [spelling(w) for w in words]
-        self.parts = []
+        self.parts, by_tail = [], {}
         for j, k in enumerate(tails):
-            ends, starts = defaultdict(count().__next__), defaultdict(count().__next__)
-            none = ends[""]
-            end_of = np.array([ends[w[-k:]] for w in words] + [none], np.int64)
+            if k not in by_tail:
+                ends = defaultdict(count().__next__)
+                none = ends[""]
+                by_tail[k] = np.array([ends[w[-k:]] for w in words] + [none], np.int64), ends
+            end_of, ends = by_tail[k]
+            starts = defaultdict(count().__next__)
             start_of = np.array([starts[s[: j + 1]] if len(s) > j else -1 for s in spelt], np.int64)
             self.parts.append((end_of, start_of, list(ends), list(starts)))
 
@@ -134,11 +138,11 @@ class Joints:
         for end_of, start_of, ends, starts in self.parts:
             start = start_of[ids]
             here = start >= 0
-            code, back, n = np.unique(
-                end_of[before[here]] * len(starts) + start[here], return_inverse=True, return_counts=True
-            )
+            # By a hash table: numbers of the pairs in the order in which they come.
+            back, code = pd.factorize(end_of[before[here]] * len(starts) + start[here])
             of = np.full(len(ids), -1, np.int64)
             of[here] = back
+            n = np.bincount(back, minlength=len(code))
             yield [(ends[c // len(starts)], starts[c % len(starts)]) for c in code.tolist()], n, of
 
 
@@ -179,6 +183,7 @@ class SuffixTree:
     known: dict[str, float]
     left: dict[str, float]
     depth: int = DEPTH + max(TAILS)
+    grams: dict[str, float] = field(default_factory=dict, compare=False, repr=False)
 
     @classmethod
     def grow(cls, rows: list[tuple[str, str, int]], gain: float = GAIN) -> SuffixTree:
@@ -218,7 +223,16 @@ class SuffixTree:
     def rest(self, word: str, heads: int = len(TAILS), within: int = DEPTH) -> float:
         """Of a word's symbols after its first ``heads``, which see only their own word."""
         s = START + spelling(word)
-        return sum(self.log10(s[max(0, e - within) : e], s[e]) for e in range(heads + 1, len(s)))
+        parts, grams = [], self.grams
+        for e in range(heads + 1, len(s)):
+            gram = s[max(0, e - within) : e + 1]
+            p = grams.get(gram)
+            if p is None:
+                if len(grams) >= REMEMBERED_GRAMS:
+                    grams.clear()
+                p = grams[gram] = self.log10(gram[:-1], gram[-1])
+            parts.append(p)
+        return sum(parts)
 
 
 # --- corpus counts and scores -----------------------------------------------------------------------------------------

@@ -202,6 +202,25 @@ def test_hashes_of_words_and_places_of_anchors():
         assert phrases.least_places(grams, span).tolist() == (runs.argmin(axis=1) + np.arange(n - span + 1)).tolist()
 
 
+def test_remembered_grams_and_pairs_give_the_same():
+    """Scores of words by remembered grams, also when these are forgotten; pairs are counted as they occur."""
+    words = ["casa", "casas", "caso", "", "ação", "a"]
+    rows = [("", s, 5) for s in "acso\n\t"] + [("a", "s", 9), ("cas", "a", 4)]
+    tree = suffix_tree.SuffixTree.grow(rows, gain=-100.0)
+
+    def plain(word):
+        s = suffix_tree.START + suffix_tree.spelling(word)
+        return sum(tree.log10(s[max(0, e - suffix_tree.DEPTH) : e], s[e]) for e in range(4, len(s)))
+
+    assert [tree.rest(w) for w in words * 2] == [plain(w) for w in words * 2] and tree.grams
+    ids, before = np.array([0, 1, 0, 3, 5, 0]), np.array([2, 0, 2, 0, 1, 2])
+    for j, (pairs, n, of) in enumerate(suffix_tree.Joints(words).pairs(ids, before)):
+        k = suffix_tree.TAILS[j]
+        spelt = [(words[b][-k:], suffix_tree.spelling(words[i])[: j + 1]) if len(suffix_tree.spelling(words[i])) > j else None for i, b in zip(ids, before)]
+        assert [pairs[p] if p >= 0 else None for p in of] == spelt
+        assert dict(zip(pairs, n.tolist())) == {p: spelt.count(p) for p in spelt if p}
+
+
 def test_repeated_phrases(spark, odd, empty):
     got = sorted((tuple(r) for r in phrases.remove_repeats(odd, bucket_bytes=4000).collect()), key=str)
     assert got == removed_by_hand([(r.doc_id, r.text) for r in odd.collect()], 50)
