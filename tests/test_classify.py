@@ -112,3 +112,36 @@ def test_folded_words(spark, plan):
     letters = "".join(chr(c) for c in range(0x21, 0x250))
     folded = spark.createDataFrame([(letters,)], "t string").select(C.fold(F.col("t"))).first()[0]
     assert "ç" not in folded and "ã" not in folded and "é" not in folded and "ø" in folded
+
+
+def split_whole(text, folded):
+    """Hits by splitting the whole text, as a set."""
+    letters = C.fold(text) if folded else F.lower(text)
+    vocabulary = sorted({C._word(w, folded) for words in X.macro_keywords().values() for w in words})
+    return F.array_sort(F.array_intersect(F.split(letters, r"[^\p{L}]+"), F.array(*map(F.lit, vocabulary))))
+
+
+@pytest.mark.parametrize("folded", [False, True])
+def test_candidates_lose_no_hit(spark, folded):
+    """Any character before, between and after lexicon words, which may part them, join them or become a letter."""
+    around = spark.range(1, 0x110000).where("id not between 55296 and 57343")
+    c = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "utf-32")
+    texts = F.array(
+        F.concat(F.lit("conta"), c, F.lit("fraude x"), c, F.lit("AR app"), c),
+        F.concat(c, F.lit("Cartão the"), c, F.lit(" "), c, F.lit("pix limi"), c, F.lit("te")),
+    )
+    texts = around.select(F.explode(texts).alias("t"))
+    words = sorted({w for ws in X.macro_keywords().values() for w in ws})
+    more = [(t,) for w in words for t in (w, w.upper(), w + "s", "x" + w, w[:-1], f"1{w}2", f"the {w}.", f"{w}\u0301", w[:2] + "\u0303" + w[2:])]
+    texts = texts.union(spark.createDataFrame([*more, (None,), ("",), ("é" * 300_000 + " pix",), ("a b. " * 300_000 + "login",)], "t string"))
+    found = texts.select("t", F.array_sort(C.lexicon_hits(F.col("t"), folded)).alias("found"), split_whole(F.col("t"), folded).alias("all"))
+    assert found.where(~F.col("found").eqNullSafe(F.col("all"))).collect() == []
+    assert found.where(F.size("found") > 0).count() > 1_000_000
+
+
+@pytest.mark.parametrize("folded", [False, True])
+def test_words_unlike_the_lexicon_are_passed_over(spark, folded):
+    text = "Die Würde, the quick (brown) fox: the Conta, o cartão - 12 weeks wow\nPIX app apps zzz Ωmega"
+    df = spark.createDataFrame([(text,), ("",), (None,)], "t string")
+    words = [r[0] if r[0] is None else r[0].split() for r in df.select(C.lexicon_candidates(F.col("t"), folded)).collect()]
+    assert words == [["Conta", "cartão", "PIX", "app", "Ωmega"], [], None]
