@@ -32,6 +32,10 @@ HEAD = 2048
 PART_ROWS = 4096
 OPEN_BLOCKS = 8
 RUN = 1024
+# Numbers of paired vectors that are held at once, whatever a block holds; pairs are multiplied as matrices when more than
+# one in DENSE of them is left.
+NUMBERS = 1 << 22
+DENSE = 8
 LONG = 2**63 - 1
 SCORES = "query_id long, vec_id long, score long"
 
@@ -74,11 +78,16 @@ def rotation(rows: DataFrame, dims: int) -> np.ndarray:
     return basis[:, np.argsort(-values)]
 
 
+def fits(q: np.ndarray, v: np.ndarray) -> bool:
+    """Whether all inner products of these rows, in any order of adding, are exact in doubles."""
+    return q.shape[1] * np.abs(q).max(initial=0) * np.abs(v).max(initial=0) < 2.0**53
+
+
 def whole_products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Inner products of paired rows, exact: in doubles while all sums stay below 2**53, else in Python's integers."""
     if not len(q):
         return np.zeros(0, np.int64)
-    if q.shape[1] * np.abs(q).max(initial=0) * np.abs(v).max(initial=0) < 2.0**53:
+    if fits(q, v):
         return np.einsum("ij,ij->i", q, v).astype(np.int64)
     sums = (sum(int(x) * int(y) for x, y in zip(a, b, strict=True)) for a, b in zip(q, v, strict=True))
     return np.array([max(-LONG - 1, min(LONG, s)) for s in sums], dtype=np.int64)
@@ -105,25 +114,45 @@ class Search:
         live = np.flatnonzero(self.norm * longest + slack >= self.floor)
         if not len(live) or not len(ids):
             return
-        bar = (self.floor - slack)[live]
-        qi, vj = np.repeat(live, len(ids)), np.tile(np.arange(len(ids)), len(live))
-        if self.cuts:
-            c = self.cuts[0]
-            partial = self.turned[live, :c] @ turned[:, :c].T
-            reach = partial + np.outer(self.rest[c][live], np.linalg.norm(turned[:, c:], axis=1))
-            keep = reach >= bar[:, None]
-            i, j = np.nonzero(keep)
-            qi, vj, partial = live[i], j, partial[keep]
-            for last, c in zip(self.cuts, self.cuts[1:], strict=False):
-                rest = np.linalg.norm(turned[:, c:], axis=1)
-                partial = partial + np.einsum("ij,ij->i", self.turned[qi, last:c], turned[vj, last:c])
-                keep = partial + self.rest[c][qi] * rest[vj] >= (self.floor - slack)[qi]
-                qi, vj, partial = qi[keep], vj[keep], partial[keep]
-        other = self.ids[qi] != ids[vj]
-        qi, vj = qi[other], vj[other]
-        score = whole_products(self.whole[qi], whole[vj])
-        fine = score >= self.floor[qi]
-        self._keep(qi[fine], ids[vj[fine]], score[fine])
+        rest = {c: np.linalg.norm(turned[:, c:], axis=1) for c in self.cuts}
+        found, size = [], 0
+        step = max(1, NUMBERS // (whole.shape[1] * len(ids)))
+        for at in range(0, len(live), step):
+            few = live[at : at + step]
+            i, j, score = self._meet(few, (self.floor - slack)[few], ids, whole, turned, rest)
+            found.append((few[i], ids[j], score))
+            size += len(score)
+            if size * whole.shape[1] >= NUMBERS:
+                self._keep(*map(np.concatenate, zip(*found, strict=True)))
+                found, size = [], 0
+        if found:
+            self._keep(*map(np.concatenate, zip(*found, strict=True)))
+
+    def _meet(self, few, bar, ids, whole, turned, rest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places and scores of the pairs of ``few`` queries with vectors that reach the queries' thresholds."""
+        partial, last, pairs = 0.0, 0, len(few) * len(ids)
+        i, j = np.divmod(np.arange(pairs), len(ids))
+        for c in self.cuts:
+            if not last:
+                partial = self.turned[few, :c] @ turned[:, :c].T
+                keep = partial + np.outer(self.rest[c][few], rest[c]) >= bar[:, None]
+                i, j = np.nonzero(keep)
+                partial = partial[keep]
+            elif len(i) * DENSE > pairs:
+                break  # Whole products cost less than looking up so many pairs.
+            else:
+                partial = partial + np.einsum("ij,ij->i", self.turned[few[i], last:c], turned[j, last:c])
+                keep = partial + self.rest[c][few[i]] * rest[c][j] >= bar[i]
+                i, j, partial = i[keep], j[keep], partial[keep]
+            last = c
+        other = self.ids[few[i]] != ids[j]
+        i, j = i[other], j[other]
+        if len(i) * DENSE > pairs and fits(self.whole[few], whole):
+            score = (self.whole[few] @ whole.T)[i, j].astype(np.int64)
+        else:
+            score = whole_products(self.whole[few[i]], whole[j])
+        fine = score >= self.floor[few[i]]
+        return i[fine], j[fine], score[fine]
 
     def _keep(self, q: np.ndarray, vec: np.ndarray, score: np.ndarray) -> None:
         if not len(q):

@@ -91,6 +91,34 @@ def test_top_k_takes_one_job_for_any_number_of_blocks(spark):
     assert abs(one - other) <= 2 and other < 40
 
 
+def test_top_k_holds_few_pairs(monkeypatch):
+    """What a search holds does not grow with its queries; lookups of pairs and products of matrices agree."""
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    vectors, asked = (np.floor(1024 * rng.normal(size=(n, 64))) for n in (1024, 1500))
+    basis = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    turned, norm = vectors @ basis, np.linalg.norm(vectors, axis=1)
+
+    def best(number):
+        search = topk.Search(np.arange(number) + 5000, asked[:number], basis, np.full(number, -np.inf), 10)
+        tracemalloc.start()
+        for _ in range(2):  # without thresholds, and with some
+            search.offer(np.arange(1024), vectors, turned, norm)
+            search.offer(np.arange(1024, 1024 + 300), vectors[:300], turned[:300], norm[:300])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return search, peak / 1e6
+
+    (_, few), (search, many) = best(100), best(1500)
+    assert many < 400 and many < 2 * few + 100
+    monkeypatch.setattr(topk, "DENSE", 1)  # pairs are looked up, but for those without a threshold
+    looked, _ = best(1500)
+    assert (search.q == looked.q).all() and (search.vec == looked.vec).all() and (search.score == looked.score).all()
+    scores = asked[:3] @ vectors.T
+    assert sorted(search.score[search.q == 2].tolist())[-1] == int(scores[2].max())
+
+
 def test_exact_dedup(spark, odd, empty):
     keep, size = {}, Counter()
     norm = lambda t: " ".join(f"|{t or ''}|".split()).encode()
