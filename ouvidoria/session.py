@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_releasing: dict[int, tuple[int, str | None]] = {}
+_lock = threading.Lock()
+
 
 def require_ref(ref: str | None) -> str:
     """The load reference (``yyyy-MM`` or ``yyyyMMdd``) is mandatory; it names a partition."""
@@ -41,12 +49,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ouvidoria/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written in here go when it is written, not when the driver next collects its garbage.
+
+    The session's setting is as it was when the last of several threads leaves.
+    """
+    key = id(spark)
+    with _lock:
+        depth, before = _releasing.get(key, (0, spark.conf.get(_RELEASE, None)))
+        _releasing[key] = depth + 1, before
+        spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            depth, before = _releasing.pop(key)
+            if depth > 1:
+                _releasing[key] = depth - 1, before
+            elif before is None:
+                spark.conf.unset(_RELEASE)
+            else:
+                spark.conf.set(_RELEASE, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of executors and is computed once."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    with shuffles_released(df.sparkSession):
+        # A frame of its own, which nothing runs again.
+        return df.select("*").checkpoint(eager=True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -96,6 +130,20 @@ class Files:
         if not fs.rename(p, to):
             raise OSError(f"could not move {source} to {target}")
 
+    def lift(self, folder: str, target: str, name) -> None:
+        """Move the files that lie in the folders of ``folder`` into ``target``, under ``name(folder's name, file's name)``."""
+        fs, p = self._open(folder)
+        path = self._sc._jvm.org.apache.hadoop.fs.Path
+        found = [s.getPath() for s in fs.globStatus(path(p, "*/part-*"))]
+
+        def one(file) -> None:
+            to = f"{target}/{name(file.getParent().getName(), file.getName())}"
+            if not fs.rename(file, path(to)):
+                raise OSError(f"could not move {file} to {to}")
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(one, found))
+
     def delete(self, path: str) -> None:
         fs, p = self._open(path)
         fs.delete(p, True)
