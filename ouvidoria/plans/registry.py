@@ -558,10 +558,9 @@ def batch_score(spark, sf):
     def length(texts: pd.Series) -> pd.Series:
         return texts.str.len()
 
-    narratives = complaints_daily(spark, sf).select("relato")
-    return scoring.batch_score(narratives, "relato", length, "pontos", "bigint").select(
-        F.md5("relato").alias("relato_md5"), "pontos"
-    )
+    # The digest of the result is made where the narratives are, so that rows take none back with their answers.
+    narratives = complaints_daily(spark, sf).select("relato", F.md5("relato").alias("relato_md5"))
+    return scoring.batch_score(narratives, "relato", length, "pontos", "bigint").select("relato_md5", "pontos")
 
 
 def _stand_in(prompts: pd.Series, model: str) -> pd.Series:
